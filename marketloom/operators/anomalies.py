@@ -31,11 +31,14 @@ def with_z_scores(sales: DataFrame) -> DataFrame:
     stats = column_stats(sales).select(F.struct("*")).scalar()
 
     def z(name: str, column: str) -> Column:
-        distance = F.col(column).cast("double") - stats[f"mean_{name}"]
-        return F.coalesce(F.abs(F.try_divide(distance, stats[f"std_{name}"])), F.lit(0.0))
+        distance = F.col(column).cast("double") - F.col("_stats")[f"mean_{name}"]
+        return F.coalesce(F.abs(F.try_divide(distance, F.col("_stats")[f"std_{name}"])), F.lit(0.0))
 
-    return sales.where(F.col("TotalAmount") > 0).withColumns(
-        {f"{name}_zscore": z(name, column) for name, column in MEASURES.items()}
+    return (
+        sales.where(F.col("TotalAmount") > 0)
+        .withColumn("_stats", stats)
+        .withColumns({f"{name}_zscore": z(name, column) for name, column in MEASURES.items()})
+        .drop("_stats")
     )
 
 

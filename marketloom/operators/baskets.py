@@ -10,7 +10,8 @@ Counting pairs means meeting the products of an invoice with each other. What ke
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import dataclass
+
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from marketloom.functions.columns import ratio
 from marketloom.functions.keys import spread
 from marketloom.operators.marts import product_info
 from marketloom.operators.reports import top_k_per_key
+from marketloom.session import stored
 
 
 def basket_sizes(sales: DataFrame, item: str = "Description") -> DataFrame:
@@ -39,22 +41,29 @@ def basket_items(sales: DataFrame, item: str = "Description") -> DataFrame:
     )
 
 
-def basket_count(sales: DataFrame, item: str = "Description") -> Column:
-    return basket_sizes(sales, item).agg(F.count(F.lit(1))).scalar()
-
-
 def item_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("Item").agg(F.count(F.lit(1)).alias("ItemCount"))
 
 
-def frequent_basket_items(
-    sales: DataFrame, min_support: float, item: str = "Description"
-) -> tuple[DataFrame, DataFrame]:
-    """Basket rows of frequent products, and those products with their counts."""
-    items = basket_items(sales, item)
-    floor = basket_count(sales, item) * F.lit(float(min_support))
-    frequent = item_counts(items).where(F.col("ItemCount") >= floor)
-    return items.join(frequent.select("Item"), "Item", "left_semi"), frequent
+@dataclass(frozen=True)
+class Baskets:
+    """Number of invoices with two or more lines, and their rows of frequent products."""
+
+    total: int
+    floor: float
+    items: DataFrame
+
+    def share(self, count: Column | str) -> Column:
+        return ratio(count, F.lit(self.total))
+
+
+def frequent_baskets(sales: DataFrame, min_support: float, item: str = "Description") -> Baskets:
+    """Baskets cut to the products that reach the support. The rows are stored: pairing reads them twice."""
+    total = basket_sizes(sales, item).count()
+    floor = total * min_support
+    items = basket_items(sales, item).select("InvoiceNo", "Item")
+    frequent = item_counts(items).where(F.col("ItemCount") >= floor).select("Item")
+    return Baskets(total, floor, stored(items.join(frequent, "Item", "left_semi")))
 
 
 def _pair_counts(items: DataFrame, ways: int = 1) -> DataFrame:
@@ -73,20 +82,22 @@ def _pair_counts(items: DataFrame, ways: int = 1) -> DataFrame:
     )
 
 
+def frequent_pairs(baskets: Baskets) -> DataFrame:
+    return _pair_counts(baskets.items).where(F.col("Frequency") >= baskets.floor)
+
+
 def basket_pairs(sales: DataFrame, min_support: float = 0.01, item: str = "Description") -> DataFrame:
     """Every unordered pair of products with at least the support, with its number of invoices."""
-    items, _ = frequent_basket_items(sales, min_support, item)
-    floor = basket_count(sales, item) * F.lit(float(min_support))
-    return _pair_counts(items).where(F.col("Frequency") >= floor)
+    return frequent_pairs(frequent_baskets(sales, min_support, item))
 
 
 def product_pairs(
     sales: DataFrame, min_support: float = 0.01, limit: int = 100, item: str = "Description"
 ) -> DataFrame:
     """The most frequent pairs with their support in percent."""
-    pairs = basket_pairs(sales, min_support, item)
-    best = pairs.orderBy(F.col("Frequency").desc(), "Product_A", "Product_B").limit(limit)
-    return best.withColumn("Support", F.round(ratio("Frequency", basket_count(sales, item)) * 100, 2))
+    baskets = frequent_baskets(sales, min_support, item)
+    best = frequent_pairs(baskets).orderBy(F.col("Frequency").desc(), "Product_A", "Product_B")
+    return best.limit(limit).withColumn("Support", F.round(baskets.share("Frequency") * 100, 2))
 
 
 def pair_rules(
@@ -96,9 +107,8 @@ def pair_rules(
     item: str = "Description",
 ) -> DataFrame:
     """One-product rules in both directions with support, confidence and lift."""
-    _, frequent = frequent_basket_items(sales, min_support, item)
-    pairs = basket_pairs(sales, min_support, item)
-    both = pairs.select(
+    baskets = frequent_baskets(sales, min_support, item)
+    both = frequent_pairs(baskets).select(
         F.explode(
             F.array(
                 F.struct(F.col("Product_A").alias("a"), F.col("Product_B").alias("b")),
@@ -107,9 +117,9 @@ def pair_rules(
         ).alias("rule"),
         "Frequency",
     ).select(F.col("rule.a").alias("antecedent"), F.col("rule.b").alias("consequent"), "Frequency")
-    left = frequent.select(F.col("Item").alias("antecedent"), F.col("ItemCount").alias("_a"))
-    right = frequent.select(F.col("Item").alias("consequent"), F.col("ItemCount").alias("_b"))
-    baskets = basket_count(sales, item)
+    counts = item_counts(baskets.items)
+    left = counts.select(F.col("Item").alias("antecedent"), F.col("ItemCount").alias("_a"))
+    right = counts.select(F.col("Item").alias("consequent"), F.col("ItemCount").alias("_b"))
     confidence = ratio("Frequency", "_a")
     return (
         both.join(left, "antecedent")
@@ -118,8 +128,8 @@ def pair_rules(
             "antecedent",
             "consequent",
             confidence.alias("confidence"),
-            F.try_divide(confidence, ratio("_b", baskets)).alias("lift"),
-            ratio("Frequency", baskets).alias("support"),
+            F.try_divide(confidence, baskets.share("_b")).alias("lift"),
+            baskets.share("Frequency").alias("support"),
         )
         .where(F.col("confidence") >= min_confidence)
     )
@@ -136,17 +146,17 @@ def frequent_itemsets(
     Infrequent products leave before the baskets are gathered, so no basket array outgrows the number of
     frequent products; a basket that loses all of them stays as an empty one and counts.
     """
-    items, _ = frequent_basket_items(sales, min_support, item)
-    gathered = items.groupBy("InvoiceNo").agg(F.collect_set("Item").alias("items"))
+    baskets = frequent_baskets(sales, min_support, item)
+    gathered = baskets.items.groupBy("InvoiceNo").agg(F.collect_set("Item").alias("items"))
     empty = F.array().cast("array<string>")
-    baskets = (
+    # Stored, because the model's itemsets and rules are computed from the baskets whenever they are read.
+    rows = stored(
         basket_sizes(sales, item)
         .select("InvoiceNo")
         .join(gathered, "InvoiceNo", "left")
         .select(F.coalesce("items", empty).alias("items"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
 
 
 def association_rules(model: FPGrowthModel, min_confidence: float = 0.5) -> DataFrame:
@@ -220,8 +230,8 @@ def product_affinity(
 ) -> DataFrame:
     """Product pairs on the newest invoices; the score is their share of these invoices."""
     named = customer_sales.where(F.col("Description").isNotNull())
-    latest = latest_invoices(named, last_invoices)
-    items = (
+    latest = stored(latest_invoices(named, last_invoices))
+    items = stored(
         named.join(latest, "InvoiceNo", "left_semi")
         .select("InvoiceNo", F.col("StockCode").alias("Item"))
         .distinct()

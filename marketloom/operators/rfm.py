@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.columns import at_least, at_most, calendar_days, elapsed_days, ratio
 from marketloom.functions.quantiles import exact_quantiles
 from marketloom.operators.reports import top_n
+from marketloom.session import stored
 
 # Lowest score of each segment in tenths, best segment first.
 SEGMENT_FLOORS = [45, 40, 35, 30, 25, 20, 15]
@@ -105,7 +106,7 @@ def rfm_quintiles(metrics: DataFrame) -> DataFrame:
 
 def rfm_quintile(customer_sales: DataFrame, weights: Sequence[int] = (3, 3, 4)) -> DataFrame:
     """Scores by the quintiles of the customers themselves; frequency counts invoices."""
-    metrics = rfm_metrics(customer_sales)
+    metrics = stored(rfm_metrics(customer_sales))
     points = rfm_quintiles(metrics)
 
     def point(metric: str, q: str) -> Column:
@@ -117,12 +118,11 @@ def rfm_quintile(customer_sales: DataFrame, weights: Sequence[int] = (3, 3, 4))
     folded = points.agg(
         *[point(metric, q) for metric in ("Recency", "Frequency", "Monetary") for q in names]
     )
-    q = folded.select(F.struct("*")).scalar()
 
     def ladder(metric: str, hits) -> Column:
         out = None
         for name, score in hits:
-            edge = q[f"{metric}_{name}"]
+            edge = F.col("_edges")[f"{metric}_{name}"]
             value = F.col(metric).cast("double")
             hit = value <= edge if metric == "Recency" else value >= edge
             out = F.when(hit, score) if out is None else out.when(hit, score)
@@ -130,14 +130,14 @@ def rfm_quintile(customer_sales: DataFrame, weights: Sequence[int] = (3, 3, 4))
 
     rising = list(zip(names, [5, 4, 3, 2], strict=True))
     falling = list(zip(reversed(names), [5, 4, 3, 2], strict=True))
-    scored = metrics.withColumns(
+    scored = metrics.withColumn("_edges", folded.select(F.struct("*")).scalar()).withColumns(
         {
             "R_Score": ladder("Recency", rising),
             "F_Score": ladder("Frequency", falling),
             "M_Score": ladder("Monetary", falling),
         }
     )
-    return _finish(scored, weights)
+    return _finish(scored.drop("_edges"), weights)
 
 
 def segment_metrics(rfm: DataFrame) -> DataFrame:

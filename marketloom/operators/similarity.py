@@ -6,11 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions.columns import first_word, ratio
 from marketloom.functions.keys import spread
 from marketloom.operators.marts import product_info
 from marketloom.operators.reports import top_k_per_key
+from marketloom.session import stored
+from marketloom.sources.schemas import MONEY
 
 # Similarities are ranked and reported at this precision, so summation order cannot reorder ties.
 DIGITS = 9
@@ -196,7 +199,7 @@ def _hot_partners(hot: DataFrame, keep: int) -> DataFrame:
 def customer_similarity(inter: DataFrame, neighbours: int = 5, group_limit: int = 2000) -> DataFrame:
     """The most similar other customers by cosine of scaled spend."""
     unit = unit_vectors(minmax_scaled(inter), "CustomerID", "StockCode", "Scaled")
-    return nearest(unit, neighbours, group_limit).select(
+    return nearest(stored(unit), neighbours, group_limit).select(
         F.col("id").alias("CustomerID"),
         F.col("neighbour").alias("Neighbour"),
         F.col("similarity").alias("Similarity"),
@@ -207,7 +210,7 @@ def customer_similarity(inter: DataFrame, neighbours: int = 5, group_limit: int
 def product_similarity(inter: DataFrame, neighbours: int = 5, group_limit: int = 2000) -> DataFrame:
     """The most similar other products by cosine of the scaled spend of their buyers."""
     unit = unit_vectors(minmax_scaled(inter), "StockCode", "CustomerID", "Scaled")
-    return nearest(unit, neighbours, group_limit).select(
+    return nearest(stored(unit), neighbours, group_limit).select(
         F.col("id").alias("StockCode"),
         F.col("neighbour").alias("Neighbour"),
         F.col("similarity").alias("Similarity"),
@@ -220,8 +223,10 @@ def unseen_items(near: DataFrame, inter: DataFrame) -> DataFrame:
     theirs = near.join(
         inter.select(F.col("CustomerID").alias("Neighbour"), "StockCode", "Spend"), "Neighbour"
     )
+    # Both factors have few digits, so the products add up exactly in any order.
+    weight = F.col("Similarity").cast(T.DecimalType(DIGITS + 1, DIGITS))
     scored = theirs.groupBy("CustomerID", "StockCode").agg(
-        F.round(F.sum(F.col("Similarity") * F.col("Spend").cast("double")), 6).alias("Score")
+        F.sum(weight * F.col("Spend").cast(MONEY)).alias("Score")
     )
     return scored.join(inter.select("CustomerID", "StockCode"), ["CustomerID", "StockCode"], "left_anti")
 

@@ -242,14 +242,14 @@ CTES = {
         WHERE Rank <= 10""",
     "unseen": """
         SELECT n.CustomerID, i.StockCode,
-               ROUND(SUM(n.Similarity * CAST(i.Spend AS DOUBLE)), 6) AS Score
+               SUM(CAST(n.Similarity AS DECIMAL(10,9)) * CAST(i.Spend AS DECIMAL(18,2))) AS Score
         FROM customer_near n JOIN inter i ON i.CustomerID = n.Neighbour
         WHERE n.Rank <= 5 AND NOT EXISTS (SELECT 1 FROM inter o WHERE o.CustomerID = n.CustomerID
                                           AND o.StockCode = i.StockCode)
         GROUP BY 1, 2""",
     "recs": """
         SELECT u.CustomerID, u.StockCode AS ProductStockCode, p.Description AS ProductDescription,
-               u.Score AS RecommendationScore, CAST(u.rn AS INTEGER) AS Rank, p.AveragePrice,
+               CAST(u.Score AS DOUBLE) AS RecommendationScore, CAST(u.rn AS INTEGER) AS Rank, p.AveragePrice,
                COALESCE(regexp_extract(trim(p.Description), '^\\S+'), 'Unknown') AS ProductCategory
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY CustomerID ORDER BY Score DESC, StockCode) AS rn
               FROM unseen) u JOIN product_info p USING (StockCode) WHERE rn <= 5""",

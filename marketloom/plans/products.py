@@ -131,7 +131,7 @@ add(
 add(
     "unseen_items",
     lambda t: similarity.unseen_items(_near(t), _inter(t)),
-    "SELECT CustomerID, StockCode, Score FROM unseen",
+    "SELECT CustomerID, StockCode, CAST(Score AS DOUBLE) AS Score FROM unseen",
 )
 add(
     "set_difference",

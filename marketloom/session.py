@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to put on a session somebody else made.
 RUNTIME_CONF = {
@@ -48,3 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared checkpoint folder.
+
+    For intermediate results that several branches of a plan read: a branch then scans the small stored
+    rows instead of recomputing them from the sales, also after an executor is lost.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
