@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel, Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,7 +23,7 @@ from marketloom.functions.columns import (
 from marketloom.functions.keys import hash_position, train_test_split
 from marketloom.functions.quantiles import exact_quantiles
 from marketloom.operators.cleaning import cut_date, fill_missing, time_split
-from marketloom.session import ensure_checkpoint_dir
+from marketloom.session import stored
 
 # The feature lists of the two models.
 RF_FEATURES = ["TotalTransactions", "TotalSpent", "AvgOrderValue", "CustomerLifetime"]
@@ -198,7 +197,7 @@ def churn_rf(
     names = (["Recency"] if use_recency else []) + RF_FEATURES
     data = churn_by_recency(lifecycle, churn_days)
     data = data.withColumns({name: F.col(name).cast("double") for name in names if name != "Recency"})
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = stored(data)
     train, test = train_test_split(data, ["CustomerID"], 0.8, seed)
     stages = [
         VectorAssembler(inputCols=names, outputCol="rawFeatures"),
@@ -258,8 +257,7 @@ def churn_gbt(
     seed: int = 42,
 ) -> ChurnModel:
     """Boosted trees with the positive class weighted by the class ratio."""
-    ensure_checkpoint_dir(features.sparkSession)
-    data = fill_missing(features, *GBT_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    data = stored(fill_missing(features, *GBT_FEATURES))
     train, test = stratified_split(data, "Churned", ["CustomerID"], 0.8, seed)
     share = train.agg(F.avg("Churned").alias("p")).scalar()
     weight = F.when(F.col("Churned") == 1, F.coalesce(F.try_divide(1 - share, share), F.lit(1.0)))

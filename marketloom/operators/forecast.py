@@ -25,6 +25,7 @@ from marketloom.operators.series import (
     trend_slope,
     with_position,
 )
+from marketloom.session import stored
 from marketloom.sources.schemas import LAG_FORECAST_DDL
 
 # ---------------------------------------------------------------- lag model
@@ -55,7 +56,7 @@ def _assembled(df: DataFrame, inputs: list[str], label: str | None = None) -> Da
 
 def forecast_lr_lags(summary: DataFrame, seed: int = 42) -> DataFrame:
     """Elastic net on lag features with ten percent bounds; empty when there are three rows or fewer."""
-    rows = revenue_lags(summary).where(F.col("revenue_lag3").isNotNull())
+    rows = revenue_lags(stored(summary)).where(F.col("revenue_lag3").isNotNull())
     data = _assembled(rows, LAG_FEATURES, "total_revenue").select("year", "month", "features", "label")
     if data.limit(4).count() <= 3:
         return summary.sparkSession.createDataFrame([], LAG_FORECAST_DDL)
@@ -83,6 +84,7 @@ def forecast_lr_index(monthly: DataFrame, horizon: int = 3, train_share: float =
     """
     inputs = ["MonthIndex", "Month", "AvgPrevSales"]
     order = ["Year", "Month"]
+    monthly = stored(monthly)
     history = moving_avg(monthly, "MonthlySales", "AvgPrevSales", -2, -1, order=order).select(
         "Year",
         "Month",
@@ -135,7 +137,7 @@ def forecast_lr_recursive(summary: DataFrame, horizon: int = 3, damp: float = 0.
     A damped share of the recent slope is added and results stay at or above zero. Needs five rows.
     """
     inputs = ["Month_Index", "Revenue_Lag1", "Revenue_Lag2", "Moving_Avg_3M"]
-    base = summary.select("year", "month", F.col("total_revenue").alias("Revenue"))
+    base = stored(summary.select("year", "month", F.col("total_revenue").alias("Revenue")))
     rows = with_position(base)
     rows = add_lags(rows, {f"Revenue_Lag{i}": ("Revenue", i) for i in (1, 2, 3)})
     rows = moving_avg(rows, "Revenue", "Moving_Avg_3M", -3, -1)
@@ -292,6 +294,7 @@ def seasonal_rows(model: SeasonalModel, daily: DataFrame, horizon: int = 90) ->
 
 
 def forecast_seasonal(daily: DataFrame, horizon: int = 90, level: float = 0.95) -> DataFrame:
+    daily = stored(daily)
     return seasonal_rows(fit_seasonal(daily, level=level), daily, horizon)
 
 
@@ -370,6 +373,7 @@ def forecast_per_group(daily: DataFrame, key: str, horizon: int = 90, ridge: flo
 
 def dashboard_series(monthly: DataFrame, months: int = 12, horizon: int = 3) -> DataFrame:
     """The newest actual months and the months ahead under one date label."""
+    monthly = stored(monthly)
     label = year_month_label("Year", "Month").alias("date")
     actual = last_months(monthly, months, ["Year", "Month"]).select(
         label, F.col("MonthlySales").cast("double").alias("sales"), F.lit("Actual").alias("type")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from marketloom.functions.columns import at_least
 from marketloom.functions.keys import dense_ids
 from marketloom.operators.marts import distinct_products, quantity_per_customer_item
 from marketloom.operators.similarity import with_descriptions
-from marketloom.session import ensure_checkpoint_dir
+from marketloom.session import stored
 
 
 def als_ratings(sales: DataFrame) -> DataFrame:
@@ -33,14 +32,13 @@ def als_recommendations(
     seed: int = 42,
 ) -> DataFrame:
     """Top products per customer. Text keys get dense ids by a join and are mapped back by a join."""
-    ensure_checkpoint_dir(ratings.sparkSession)
+    ratings = stored(ratings)
     customers = dense_ids(ratings, "CustomerID", "_user")
     items = dense_ids(ratings, "StockCode", "_item")
     indexed = (
         ratings.join(customers, "CustomerID")
         .join(items, "StockCode")
         .select("_user", "_item", "rating")
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     als = ALS(
         userCol="_user",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.columns import ratio
 from marketloom.functions.quantiles import exact_quantiles
+from marketloom.session import stored
 
 CLUSTER_INPUT = ["TotalSpending", "TotalOrders"]
 
@@ -22,12 +22,12 @@ def customer_segments(
     features: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42, centre: bool = True
 ) -> DataFrame:
     """K-Means on standardised spend and orders; of several starts the one with the lowest cost stays."""
-    numbers = features.withColumns({f"_{c}": F.col(c).cast("double") for c in CLUSTER_INPUT})
+    numbers = stored(features).withColumns({f"_{c}": F.col(c).cast("double") for c in CLUSTER_INPUT})
     vectors = VectorAssembler(
         inputCols=[f"_{c}" for c in CLUSTER_INPUT], outputCol="_vector"
     ).transform(numbers)
     scaler = StandardScaler(inputCol="_vector", outputCol="_scaled", withMean=centre)
-    scaled = scaler.fit(vectors).transform(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = stored(scaler.fit(vectors).transform(vectors))
     fits = (
         KMeans(k=k, seed=seed + i, featuresCol="_scaled", predictionCol="Cluster").fit(scaled)
         for i in range(restarts)

@@ -62,8 +62,14 @@ def _vectors(df: DataFrame, side: str, columns: Sequence[str] = ("id", "w")) ->
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:
-    flipped = pairs.select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"), "dot")
-    return pairs.select("id_a", "id_b", "dot").unionByName(flipped)
+    """Each pair seen from either id. Exploded, so the pairs are formed once."""
+    ends = F.array(
+        F.struct(F.col("id_a").alias("id"), F.col("id_b").alias("other")),
+        F.struct(F.col("id_b").alias("id"), F.col("id_a").alias("other")),
+    )
+    return pairs.select(F.explode(ends).alias("end"), "dot").select(
+        F.col("end.id").alias("id_a"), F.col("end.other").alias("id_b"), "dot"
+    )
 
 
 def _closest(pairs: DataFrame, k: int) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.operators import baskets, churn, evaluation, marts, recommend, reports, rfm, segments
-from marketloom.plans.catalog import add
+from marketloom.plans.catalog import add, rounded
 
 # -------------------------------------------------------------------- segments
 
@@ -93,9 +93,49 @@ add(
     ),
 )
 add(
-    "rules_sorted",
-    lambda t: baskets.pair_rules(t.sales, 0.002, 0.03).orderBy(
-        F.col("confidence").desc(), F.col("lift").desc(), "antecedent", "consequent"
+    "frequent_itemset_pairs",
+    lambda t: _itemsets(t)
+    .freqItemsets.where(F.size("items") <= 2)
+    .select(F.array_join(F.array_sort("items"), " + ").alias("items"), "freq"),
+    """SELECT Item AS items, COUNT(*) AS freq FROM basket_rows GROUP BY Item
+       HAVING COUNT(*) >= 0.002 * (SELECT COUNT(*) FROM basket_n)
+       UNION ALL SELECT Product_A || ' + ' || Product_B, Frequency FROM pair_counts
+       WHERE Frequency >= 0.002 * (SELECT COUNT(*) FROM basket_n)""",
+)
+RULES_SQL = """
+    SELECT antecedent, consequent, ROUND(confidence, 9) AS confidence,
+           ROUND(confidence / (CAST(cb AS DOUBLE) / n), 9) AS lift, ROUND(CAST(Frequency AS DOUBLE) / n, 9) AS support
+    FROM (SELECT p.*, b.c AS cb, CAST(p.Frequency AS DOUBLE) / a.c AS confidence,
+                 (SELECT COUNT(*) FROM basket_n) AS n
+          FROM (SELECT Product_A AS antecedent, Product_B AS consequent, Frequency FROM pair_counts
+                UNION ALL SELECT Product_B, Product_A, Frequency FROM pair_counts) p
+          JOIN (SELECT Item, COUNT(*) AS c FROM basket_rows GROUP BY Item) a ON a.Item = antecedent
+          JOIN (SELECT Item, COUNT(*) AS c FROM basket_rows GROUP BY Item) b ON b.Item = consequent)
+    WHERE Frequency >= 0.002 * n AND confidence > 0.035"""
+add(
+    "association_rules_single",
+    lambda t: rounded(
+        baskets.association_rules(_itemsets(t), 0.035)
+        .where(F.size("antecedent") == 1)
+        .select(
+            F.get("antecedent", F.lit(0)).alias("antecedent"),
+            F.get("consequent", F.lit(0)).alias("consequent"),
+            "confidence",
+            "lift",
+            "support",
+        ),
+        9,
+        "confidence",
+        "lift",
+        "support",
     ),
+    RULES_SQL,
+)
+add(
+    "rules_sorted",
+    lambda t: rounded(baskets.pair_rules(t.sales, 0.002, 0.0), 9, "confidence", "lift", "support")
+    .where(F.col("confidence") > 0.035)
+    .orderBy(F.col("confidence").desc(), F.col("lift").desc(), "antecedent", "consequent"),
+    RULES_SQL + " ORDER BY confidence DESC, lift DESC, antecedent, consequent",
 )
 add("als_recommendations", lambda t: recommend.als_table(t.sales, k=10))

@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.operators import cleaning
-from marketloom.sources.schemas import MONEY
+from marketloom.sources.schemas import MONEY, SAMPLE_TABLES
+
+
+def sample_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SAMPLE_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +23,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return sample_table(spark, sf_dir, name)
 
     buyers = table("customer").join(
         table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
@@ -69,4 +73,4 @@ class Tables:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
+        return sample_table(self.spark, self.sf_dir, "events")

@@ -25,3 +25,13 @@ LAG_FORECAST_DDL = (
     "year INT, month INT, actual_revenue DOUBLE, forecasted_revenue DOUBLE, "
     "forecast_lower DOUBLE, forecast_upper DOUBLE, accuracy DOUBLE"
 )
+
+# The columns the sample tables are read with.
+SAMPLE_TABLES = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_returnflag STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_retailprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
