@@ -55,7 +55,15 @@ def filter_sales(
     start: dt.date | None = None,
     end: dt.date | None = None,
 ) -> DataFrame:
-    """Country list and day range, both ends included; an empty choice does not filter."""
+    """Country list and day range, both ends included; an empty choice does not filter.
+
+    The years of the range are named too, which prunes folders where the lines are stored by year.
+    """
+    if "Year" in df.columns:
+        if start is not None:
+            df = df.where(F.col("Year") >= start.year)
+        if end is not None:
+            df = df.where(F.col("Year") <= end.year)
     if countries:
         df = df.where(F.col("Country").isin(list(countries)))
     if start is not None:

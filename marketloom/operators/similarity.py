@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,11 @@ def interactions(customer_sales: DataFrame) -> DataFrame:
     )
 
 
+def spend_matrix(customer_sales: DataFrame) -> DataFrame:
+    """The interactions, stored: scaling, similarity and recommendations all read them."""
+    return stored(interactions(customer_sales))
+
+
 def minmax_scaled(inter: DataFrame) -> DataFrame:
     """Each product's spend scaled to 0..1 over all customers; a customer without it has spend 0.
 
@@ -224,28 +230,84 @@ def product_similarity(inter: DataFrame, neighbours: int = 5, group_limit: int =
     )
 
 
+def _contribution() -> Column:
+    """Similarity times spend. Both have few digits as decimals, so sums are exact in any order."""
+    return F.col("Similarity").cast(T.DecimalType(DIGITS + 1, DIGITS)) * F.col("Spend").cast(MONEY)
+
+
 def unseen_items(near: DataFrame, inter: DataFrame) -> DataFrame:
     """Products of a customer's neighbours that the customer has not bought, with their score."""
     theirs = near.join(
         inter.select(F.col("CustomerID").alias("Neighbour"), "StockCode", "Spend"), "Neighbour"
     )
-    # Both factors have few digits, so the products add up exactly in any order.
-    weight = F.col("Similarity").cast(T.DecimalType(DIGITS + 1, DIGITS))
-    scored = theirs.groupBy("CustomerID", "StockCode").agg(
-        F.sum(weight * F.col("Spend").cast(MONEY)).alias("Score")
-    )
+    scored = theirs.groupBy("CustomerID", "StockCode").agg(F.sum(_contribution()).alias("Score"))
     return scored.join(inter.select("CustomerID", "StockCode"), ["CustomerID", "StockCode"], "left_anti")
 
 
+def _scores_with_large_neighbours(near: DataFrame, inter: DataFrame, sizes: DataFrame, k: int, large: int):
+    """Scores of products that can be among a customer's k best, without spelling out long lists.
+
+    A customer with one neighbour of more than ``large`` products gets only the head of that list, by
+    spend: as many products as the customer owns, plus k. At least k of them are unseen, and each beats
+    every product that only the rest of the list holds. What the long list adds to products of other
+    neighbours is looked up. With two such neighbours their sums could win from the rest, so these
+    customers get all lists whole.
+    """
+    theirs = inter.select(F.col("CustomerID").alias("Neighbour"), "StockCode", "Spend")
+    long = sizes.where(F.col("_items") > large).select(F.col("CustomerID").alias("Neighbour"))
+    marked = near.join(long.withColumn("_long", F.lit(1)), "Neighbour", "left")
+    several = (
+        marked.groupBy("CustomerID").agg(F.count("_long").alias("_n")).where(F.col("_n") > 1)
+    ).select("CustomerID")
+    single = marked.where(F.col("_long").isNotNull()).join(several, "CustomerID", "left_anti").select(
+        "CustomerID", "Neighbour", "Similarity"
+    )
+    whole = near.join(single.select("CustomerID", "Neighbour"), ["CustomerID", "Neighbour"], "left_anti")
+    base = whole.join(theirs, "Neighbour").select("CustomerID", "StockCode", _contribution().alias("_c"))
+
+    place = F.row_number().over(
+        W.partitionBy("Neighbour").orderBy(F.col("Spend").desc(), F.col("StockCode"))
+    )
+    lists = theirs.join(long, "Neighbour", "left_semi").withColumn("_place", place)
+    heads = (
+        single.join(sizes, "CustomerID")
+        .join(lists, "Neighbour")
+        .where(F.col("_place") <= F.col("_items") + k)
+        .select("CustomerID", "StockCode", F.lit(0).cast("decimal(38,11)").alias("_c"))
+    )
+    candidates = base.unionByName(heads).groupBy("CustomerID", "StockCode").agg(F.sum("_c").alias("_short"))
+    looked_up = (
+        candidates.select("CustomerID", "StockCode")
+        .join(single, "CustomerID")
+        .join(theirs, ["Neighbour", "StockCode"])
+        .select("CustomerID", "StockCode", _contribution().alias("_extra"))
+    )
+    return candidates.join(looked_up, ["CustomerID", "StockCode"], "left").select(
+        "CustomerID",
+        "StockCode",
+        (F.col("_short") + F.coalesce("_extra", F.lit(0))).alias("Score"),
+    )
+
+
+def best_unseen(near: DataFrame, inter: DataFrame, k: int = 5, large: int = 10_000) -> DataFrame:
+    """The k best products per customer among those its neighbours bought and it did not."""
+    sizes = inter.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("_items"))
+    if sizes.where(F.col("_items") > large).isEmpty():
+        scored = unseen_items(near, inter)
+    else:
+        scored = _scores_with_large_neighbours(near, inter, sizes, k, large).join(
+            inter.select("CustomerID", "StockCode"), ["CustomerID", "StockCode"], "left_anti"
+        )
+    return top_k_per_key(scored, ["CustomerID"], [F.col("Score").desc(), F.col("StockCode")], k)
+
+
 def neighbour_recommendations(
     customer_sales: DataFrame, neighbours: int = 5, k: int = 5, group_limit: int = 2000
 ) -> DataFrame:
     """The best unseen products per customer, weighted by similarity and the neighbours' spend."""
-    inter = interactions(customer_sales)
-    near = customer_similarity(inter, neighbours, group_limit)
-    best = top_k_per_key(
-        unseen_items(near, inter), ["CustomerID"], [F.col("Score").desc(), F.col("StockCode")], k
-    )
+    inter = spend_matrix(customer_sales)
+    near = stored(customer_similarity(inter, neighbours, group_limit))
+    best = best_unseen(near, inter, k)
     info = product_info(customer_sales).select("StockCode", "Description", "AveragePrice")
     return best.join(info, "StockCode").select(
         "CustomerID",

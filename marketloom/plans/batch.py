@@ -99,12 +99,12 @@ PARTITIONS = {"monthly_sales": ("Year", "Month")}
 
 
 def load(spark: SparkSession, path: str) -> None:
-    """Append a landed file to the raw table and rewrite the clean table from it."""
+    """Append a landed file to the raw table and rewrite the clean table from it, one folder per month."""
     sinks.append_raw(spark, path, RAW)
     parsed = cleaning.parse_invoice_date(spark.table(RAW))
     clean = cleaning.valid_sales(cleaning.add_line_columns(parsed))
     sinks.drop_tables(spark, CLEAN)
-    sinks.write_table(clean, CLEAN)
+    sinks.write_table(clean, CLEAN, ("Year", "Month"))
 
 
 def run(

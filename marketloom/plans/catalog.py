@@ -147,7 +147,7 @@ CTES = {
                CAST(n AS BIGINT) AS Frequency, CAST(money AS DOUBLE) AS Monetary,
                CAST(money AS DOUBLE) / n AS AvgOrderValue,
                CAST(date_sub('day', first_d, cut) AS INTEGER) AS TenureDays,
-               ROUND(COALESCE(variability, 0), 6) AS PurchaseVariability,
+               ROUND(COALESCE(variability, 0), 4) AS PurchaseVariability,
                CASE WHEN n <= 1 THEN CAST(date_sub('day', first_d, cut) AS DOUBLE)
                     WHEN inv = 1 THEN CAST(0 AS DOUBLE)
                     ELSE CAST(date_sub('day', first_d, last_start) AS DOUBLE) / (inv - 1) END AS AvgDaysBetween,

@@ -97,11 +97,11 @@ add(
 )
 add(
     "customer_lifecycle",
-    lambda t: rounded(churn.customer_lifecycle(t.sales), 6, "StdOrderValue"),
+    lambda t: rounded(churn.customer_lifecycle(t.sales), 4, "StdOrderValue"),
     """SELECT CustomerID, MIN(InvoiceDate) AS FirstPurchase, MAX(InvoiceDate) AS LastPurchase,
               COUNT(*) AS TotalTransactions, CAST(SUM(TotalAmount) AS DOUBLE) AS TotalSpent,
               CAST(SUM(TotalAmount) AS DOUBLE) / COUNT(TotalAmount) AS AvgOrderValue,
-              ROUND(COALESCE(stddev_samp(CAST(TotalAmount AS DOUBLE)), 0), 6) AS StdOrderValue,
+              ROUND(COALESCE(stddev_samp(CAST(TotalAmount AS DOUBLE)), 0), 4) AS StdOrderValue,
               CAST(date_diff('day', CAST(MAX(InvoiceDate) AS DATE), (SELECT CAST(MAX(InvoiceDate) AS DATE)
                    FROM sales WHERE CustomerID IS NOT NULL)) AS INTEGER) AS Recency,
               CAST(date_diff('day', CAST(MIN(InvoiceDate) AS DATE), CAST(MAX(InvoiceDate) AS DATE)) AS INTEGER)
@@ -116,7 +116,7 @@ def _churn_features(t):
 
 add(
     "churn_features",
-    lambda t: rounded(_churn_features(t), 6, "PurchaseVariability"),
+    lambda t: rounded(_churn_features(t), 4, "PurchaseVariability"),
     "SELECT * FROM churn_features",
 )
 add(

@@ -82,8 +82,16 @@ def _inter(t):
     return similarity.interactions(t.customer_sales)
 
 
-def _near(t, k=5):
-    return similarity.customer_similarity(_inter(t), k)
+def _matrix(t):
+    return similarity.spend_matrix(t.customer_sales)
+
+
+def _near(inter, k=5):
+    return similarity.customer_similarity(inter, k)
+
+
+def _on_matrix(build):
+    return lambda t: build(_matrix(t))
 
 
 def _recs(t):
@@ -97,22 +105,22 @@ add(
 )
 add(
     "minmax_scaler",
-    lambda t: rounded(similarity.minmax_scaled(_inter(t)), 9, "Scaled"),
+    lambda t: rounded(similarity.minmax_scaled(_matrix(t)), 9, "Scaled"),
     "SELECT CustomerID, StockCode, ROUND(Scaled, 9) AS Scaled FROM scaled",
 )
 add(
     "customer_similarity",
-    lambda t: _near(t, 10),
+    lambda t: _near(_matrix(t), 10),
     "SELECT CustomerID, Neighbour, Similarity, Rank FROM customer_near",
 )
 add(
     "top_k_neighbours",
-    _near,
+    lambda t: _near(_matrix(t)),
     "SELECT CustomerID, Neighbour, Similarity, Rank FROM customer_near WHERE Rank <= 5",
 )
 add(
     "product_similarity",
-    lambda t: similarity.product_similarity(_inter(t), 5),
+    lambda t: similarity.product_similarity(_matrix(t), 5),
     """SELECT * FROM (
          SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY StockCode ORDER BY Similarity DESC, Neighbour)
                    AS INTEGER) AS Rank
@@ -122,7 +130,7 @@ add(
 )
 add(
     "similarity_join",
-    lambda t: similarity.shared_products(_near(t), _inter(t)),
+    _on_matrix(lambda inter: similarity.shared_products(_near(inter), inter)),
     """SELECT n.CustomerID, n.Neighbour, COUNT(*) AS SharedProducts
        FROM customer_near n JOIN inter a ON a.CustomerID = n.CustomerID
        JOIN inter b ON b.CustomerID = n.Neighbour AND b.StockCode = a.StockCode
@@ -130,12 +138,12 @@ add(
 )
 add(
     "unseen_items",
-    lambda t: similarity.unseen_items(_near(t), _inter(t)),
+    _on_matrix(lambda inter: similarity.unseen_items(_near(inter), inter)),
     "SELECT CustomerID, StockCode, CAST(Score AS DOUBLE) AS Score FROM unseen",
 )
 add(
     "set_difference",
-    lambda t: similarity.new_products(_near(t, 1), _inter(t)),
+    _on_matrix(lambda inter: similarity.new_products(_near(inter, 1), inter)),
     """SELECT n.CustomerID, i.StockCode FROM customer_near n JOIN inter i ON i.CustomerID = n.Neighbour
        WHERE n.Rank = 1 EXCEPT SELECT CustomerID, StockCode FROM inter""",
 )

@@ -30,9 +30,11 @@ def append_raw(spark: SparkSession, path: str, table: str = "ecommerce_raw") ->
 
 def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a Parquet table. Partition only by columns with few values, such as Year and Month."""
+    if partition_by:
+        # Rows of a partition go to few files, and a hot partition is split over several tasks.
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet").option("compression", "snappy")
     if partition_by:
-        # One task per partition value would hold a hot month alone, so no repartition by the columns.
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
 

@@ -134,6 +134,27 @@ def test_recommendations_are_unseen_and_named_once(spark, make_lines):
     assert to_u[0]["AveragePrice"] == pytest.approx(5.0)
 
 
+@pytest.mark.parametrize("large", [1, 3, 12, 25])
+def test_long_product_lists_of_neighbours_give_the_same_recommendations(spark, large):
+    rng = random.Random(large)
+    products = [f"p{i:02d}" for i in range(40)]
+    rows = {(f"c{i:02d}", p, rng.randint(1, 9) * 10) for i in range(40) for p in rng.sample(products, rng.randint(1, 5))}
+    rows |= {("huge", p, rng.randint(1, 9) * 10) for p in products}
+    rows |= {("also", p, rng.randint(1, 9) * 10) for p in products[::2]}
+    cells = {}
+    for customer, product, spend in sorted(rows):
+        cells[(customer, product)] = spend
+    inter = spark.createDataFrame(
+        [(c, p, s) for (c, p), s in cells.items()], "CustomerID STRING, StockCode STRING, Spend INT"
+    ).selectExpr("CustomerID", "StockCode", "CAST(Spend AS DECIMAL(28,2)) AS Spend")
+    near = similarity.customer_similarity(inter, 5)
+    simple = similarity.best_unseen(near, inter, 4, large=10_000)
+    pruned = similarity.best_unseen(near, inter, 4, large=large)
+    columns = ["CustomerID", "StockCode", "Score", "Rank"]
+    assert sorted(map(tuple, pruned.select(columns).collect())) == sorted(map(tuple, simple.select(columns).collect()))
+    assert simple.count() > 100
+
+
 def test_with_descriptions_does_not_fan_out(spark):
     recs = spark.createDataFrame([("u", "A"), ("u", "Z")], "CustomerID STRING, ProductStockCode STRING")
     names = spark.createDataFrame([("A", "one"), ("A", "two")], "StockCode STRING, Description STRING")
