@@ -20,9 +20,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles: the keys, ``quantiles`` (one double per prob) and ``n``.
 
-    Equal values are counted first, so copies cost one row, and the counts are stored. Approximate percentiles then cut the distinct
-    values into buckets of similar size. They only balance the work: ranks come from exact bucket counts,
-    and only the few buckets that hold a wanted rank are sorted.
+    Equal values are counted first, so copies cost one row, and the counts are stored. Approximate
+    percentiles then cut the distinct values into buckets of similar size. They only balance the work:
+    ranks come from exact bucket counts, and only the few buckets that hold a wanted rank are sorted.
     """
     keys = list(keys)
     value = F.col(value) if isinstance(value, str) else value

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.columns import (
@@ -108,6 +108,13 @@ def active_customers(history: DataFrame, observation: DataFrame) -> DataFrame:
     )
 
 
+def _dated_flag(ts: Column, flag: Column) -> Column:
+    """A time and a flag in one number that orders by time, then flagged first. The last bit is 0 for
+    flagged. Unlike a struct or text it can be aggregated by hashing, without sorting the lines."""
+    micros = F.unix_micros(ts.cast("timestamp"))
+    return micros * 2 + F.when(flag, F.lit(0)).otherwise(F.lit(1))
+
+
 def churn_features(
     customer_sales: DataFrame, days: int = 30, recent: int = 90, home: str = "United Kingdom"
 ) -> DataFrame:
@@ -123,7 +130,7 @@ def churn_features(
         F.count(F.lit(1)).alias("_lines"),
         F.min("InvoiceDate").alias("_first"),
         F.max("InvoiceDate").alias("_last"),
-        F.min_by("Country", F.struct("InvoiceDate", "InvoiceNo", "Country")).alias("_country"),
+        F.min(_dated_flag(F.col("InvoiceDate"), F.col("Country") == home)).alias("_home"),
         F.count_if(F.col("InvoiceDate") >= cut - F.make_interval(days=F.lit(recent))).alias("_recent"),
     )
     per_customer = invoices.groupBy("CustomerID").agg(
@@ -136,7 +143,7 @@ def churn_features(
             "PurchaseVariability"
         ),
         F.count(F.lit(1)).alias("_invoices"),
-        F.min_by("_country", F.struct("_first", "InvoiceNo")).alias("_country"),
+        F.min("_home").alias("_home"),
         F.sum("_recent").alias("Transactions90d"),
     )
     diversity = history.groupBy("CustomerID").agg(F.count_distinct("StockCode").alias("ProductDiversity"))
@@ -156,7 +163,7 @@ def churn_features(
         "PurchaseVariability",
         gaps.alias("AvgDaysBetween"),
         "ProductDiversity",
-        (F.col("_country") == home).cast("int").alias("IsUK"),
+        (1 - F.pmod("_home", F.lit(2))).cast("int").alias("IsUK"),
         "Transactions90d",
     )
     return churn_label(features, observation)

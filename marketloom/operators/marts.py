@@ -147,16 +147,21 @@ def distinct_products(sales: DataFrame) -> DataFrame:
 
 
 def product_info(sales: DataFrame) -> DataFrame:
-    """One description (of the earliest sale) and the average price per product."""
-    first = F.struct("InvoiceDate", "InvoiceNo", "Description", "UnitPrice")
-    return (
+    """One description and price (of the earliest sale, ties by name) and the average price per product.
+
+    Sales are first reduced to product versions with numeric aggregates, which hash; picking the text of
+    the earliest version sorts, but only the few versions of a product.
+    """
+    versions = (
         sales.where(F.col("Description").isNotNull())
-        .groupBy("StockCode")
-        .agg(
-            F.min_by("Description", first).alias("Description"),
-            F.min_by("UnitPrice", first).alias("FirstPrice"),
-            money_mean("UnitPrice").alias("AveragePrice"),
-        )
+        .groupBy("StockCode", "Description", "UnitPrice")
+        .agg(F.min("InvoiceDate").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    )
+    earliest = F.struct("_first", "Description", "UnitPrice")
+    return versions.groupBy("StockCode").agg(
+        F.min_by("Description", earliest).alias("Description"),
+        F.min_by("UnitPrice", earliest).alias("FirstPrice"),
+        ratio(F.sum(F.col("UnitPrice") * F.col("_n")), F.sum("_n")).alias("AveragePrice"),
     )
 
 

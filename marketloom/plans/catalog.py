@@ -202,7 +202,7 @@ CTES = {
     "product_first": """
         SELECT StockCode, Description, UnitPrice AS FirstPrice FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY StockCode
-                    ORDER BY InvoiceDate, InvoiceNo, Description, UnitPrice) AS rn
+                    ORDER BY InvoiceDate, Description, UnitPrice) AS rn
           FROM cust_sales WHERE Description IS NOT NULL) WHERE rn = 1""",
     "product_info": """
         SELECT StockCode, p.Description, p.FirstPrice, a.AveragePrice FROM product_first p

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from marketloom.operators import churn, cleaning, features, marts, reports, rfm
 from marketloom.plans.catalog import add, rounded
 
@@ -159,12 +157,3 @@ add(
        FROM (SELECT CustomerID, SUM(TotalAmount) AS m, COUNT(DISTINCT InvoiceNo) AS n FROM cust_sales
              GROUP BY CustomerID)""",
 )
-add(
-    "customer_country_counts",
-    lambda t: t.customer_sales.groupBy("Country").agg(
-        F.count_distinct("CustomerID").alias("Customers"),
-        F.count_distinct("InvoiceNo").alias("Orders"),
-    ),
-    """SELECT Country, COUNT(DISTINCT CustomerID) AS Customers, COUNT(DISTINCT InvoiceNo) AS Orders
-       FROM cust_sales GROUP BY Country""",
-)

@@ -17,13 +17,16 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings a context only takes at its start: stored results go when nothing refers to them any more.
+START_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(app: str = "marketloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the runtime settings; cluster sizes stay with spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **START_CONF, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
