@@ -22,7 +22,7 @@ from marketloom.functions.columns import (
 )
 from marketloom.functions.keys import hash_position, train_test_split
 from marketloom.functions.quantiles import exact_quantiles
-from marketloom.operators.cleaning import cut_date, fill_missing, time_split
+from marketloom.operators.cleaning import cut_date, fill_missing
 from marketloom.session import stored
 
 # The feature lists of the two models.
@@ -120,40 +120,54 @@ def churn_features(
 ) -> DataFrame:
     """Ten features from the history before the cut date, and the label from the time after it.
 
-    Lines are reduced to invoices and invoices to customers. The mean gap between sorted invoice dates
-    is the span from first to last over the number of gaps, so no ordering is needed.
+    One pass reduces lines to invoices, marked by side of the cut, and invoices to customers; another
+    counts products. The mean gap between sorted invoice dates is the span from first to last over the
+    number of gaps, so no ordering is needed.
     """
-    history, observation = time_split(customer_sales, days)
     cut = cut_date(customer_sales, days)
-    invoices = history.groupBy("CustomerID", "InvoiceNo").agg(
+    date = F.col("InvoiceDate")
+    invoices = customer_sales.groupBy("CustomerID", "InvoiceNo", (date >= cut).alias("_seen")).agg(
         F.sum("TotalAmount").alias("_total"),
         F.count(F.lit(1)).alias("_lines"),
-        F.min("InvoiceDate").alias("_first"),
-        F.max("InvoiceDate").alias("_last"),
-        F.min(_dated_flag(F.col("InvoiceDate"), F.col("Country") == home)).alias("_home"),
-        F.count_if(F.col("InvoiceDate") >= cut - F.make_interval(days=F.lit(recent))).alias("_recent"),
+        F.min(date).alias("_first"),
+        F.max(date).alias("_last"),
+        F.min(_dated_flag(date, F.col("Country") == home)).alias("_home"),
+        F.count_if(date >= cut - F.make_interval(days=F.lit(recent))).alias("_recent"),
     )
-    per_customer = invoices.groupBy("CustomerID").agg(
-        F.max("_last").alias("_last"),
-        F.min("_first").alias("_first"),
-        F.max("_first").alias("_last_start"),
-        F.sum("_lines").alias("Frequency"),
-        F.sum("_total").alias("Monetary"),
-        F.coalesce(F.stddev_samp(F.col("_total").cast("double")), F.lit(0.0)).alias(
-            "PurchaseVariability"
-        ),
-        F.count(F.lit(1)).alias("_invoices"),
-        F.min("_home").alias("_home"),
-        F.sum("_recent").alias("Transactions90d"),
+
+    def past(column: str) -> Column:
+        return F.when(~F.col("_seen"), F.col(column))
+
+    per_customer = (
+        invoices.groupBy("CustomerID")
+        .agg(
+            F.max(past("_last")).alias("_last"),
+            F.min(past("_first")).alias("_first"),
+            F.max(past("_first")).alias("_last_start"),
+            F.sum(past("_lines")).alias("Frequency"),
+            F.sum(past("_total")).alias("Monetary"),
+            F.coalesce(F.stddev_samp(past("_total").cast("double")), F.lit(0.0)).alias(
+                "PurchaseVariability"
+            ),
+            F.count(past("_lines")).alias("_invoices"),
+            F.min(past("_home")).alias("_home"),
+            F.sum(past("_recent")).alias("Transactions90d"),
+            F.max("_seen").alias("_back"),
+        )
+        .where(F.col("_first").isNotNull())
+    )
+    diversity = (
+        customer_sales.where(date < cut)
+        .groupBy("CustomerID")
+        .agg(F.count_distinct("StockCode").alias("ProductDiversity"))
     )
-    diversity = history.groupBy("CustomerID").agg(F.count_distinct("StockCode").alias("ProductDiversity"))
     tenure = elapsed_days("_first", cut)
     gaps = (
         F.when(F.col("Frequency") <= 1, tenure.cast("double"))
         .when(F.col("_invoices") == 1, F.lit(0.0))
         .otherwise(ratio(elapsed_days("_first", "_last_start"), F.col("_invoices") - 1))
     )
-    features = per_customer.join(diversity, "CustomerID").select(
+    return per_customer.join(diversity, "CustomerID").select(
         "CustomerID",
         elapsed_days("_last", cut).alias("Recency"),
         "Frequency",
@@ -165,8 +179,8 @@ def churn_features(
         "ProductDiversity",
         (1 - F.pmod("_home", F.lit(2))).cast("int").alias("IsUK"),
         "Transactions90d",
+        (~F.col("_back")).cast("int").alias("Churned"),
     )
-    return churn_label(features, observation)
 
 
 def churn_rate(features: DataFrame) -> DataFrame:
