@@ -196,6 +196,10 @@ def top_pairs(items: DataFrame, limit: int = 100, long_basket: int = 1000) -> Da
     """
     sizes = items.groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("_size"))
     long_ids = sizes.where(F.col("_size") > long_basket).select("InvoiceNo")
+    names = ["Product_A", "Product_B"]
+    order = [F.col("Frequency").desc(), *names]
+    if long_ids.isEmpty():
+        return _pair_counts(items).orderBy(*order).limit(limit)
     short = items.join(long_ids, "InvoiceNo", "left_anti")
     long = items.join(long_ids, "InvoiceNo", "left_semi")
 
@@ -206,7 +210,6 @@ def top_pairs(items: DataFrame, limit: int = 100, long_basket: int = 1000) -> Da
     single = _pair_counts(heads.select("InvoiceNo", "Item"))
 
     none = F.lit(0).cast("bigint").alias("Frequency")
-    names = ["Product_A", "Product_B"]
     from_short = counted.unionByName(
         repeated.select(*names, none).unionByName(single.select(*names, none))
     ).groupBy(*names).agg(F.sum("Frequency").alias("_short"))
@@ -220,7 +223,7 @@ def top_pairs(items: DataFrame, limit: int = 100, long_basket: int = 1000) -> Da
     return (
         from_short.join(in_long, names, "left")
         .select(*names, total.alias("Frequency"))
-        .orderBy(F.col("Frequency").desc(), *names)
+        .orderBy(*order)
         .limit(limit)
     )
 

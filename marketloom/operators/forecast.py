@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -195,7 +196,11 @@ def forecast_lr_recursive(summary: DataFrame, horizon: int = 3, damp: float = 0.
 SEASONS = {"weekly": (7.0, 3), "monthly": (30.44, 5), "yearly": (365.25, 10)}
 CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8
-Z95 = 1.96
+
+
+def _width(level: float) -> float:
+    """Half width of a two-sided normal interval, in standard deviations."""
+    return NormalDist().inv_cdf(0.5 + level / 2)
 
 
 def _knots() -> list[float]:
@@ -222,13 +227,13 @@ def _trend_columns(t: Column) -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class SeasonalModel:
-    """Coefficients of the additive model and the span of days it was fitted on."""
+    """Coefficients of the additive model, the span of days it was fitted on and the interval's half."""
 
     linear: LinearRegressionModel
     names: list[str]
     first: dt.date
     last: dt.date
-    spread: float
+    margin: float
 
     def _columns(self) -> dict[str, Column]:
         return seasonal_columns(self.first, self.last)
@@ -257,8 +262,6 @@ def seasonal_columns(first: dt.date, last: dt.date) -> dict[str, Column]:
 
 def fit_seasonal(daily: DataFrame, ridge: float = 0.01, level: float = 0.95) -> SeasonalModel:
     """Ridge regression of daily revenue on a bending trend and Fourier seasons."""
-    if level != 0.95:
-        raise ValueError("only the 95 percent interval is defined")
     span = daily.agg(F.min("Date").alias("first"), F.max("Date").alias("last")).first()
     columns = seasonal_columns(span["first"], span["last"])
     rows = daily.select(F.col("Revenue").cast("double").alias("Revenue"), *[
@@ -267,9 +270,8 @@ def fit_seasonal(daily: DataFrame, ridge: float = 0.01, level: float = 0.95) ->
     names = list(columns)
     data = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     linear = LinearRegression(labelCol="Revenue", regParam=ridge, elasticNetParam=0.0).fit(data)
-    return SeasonalModel(
-        linear, names, span["first"], span["last"], float(linear.summary.rootMeanSquaredError)
-    )
+    margin = _width(level) * float(linear.summary.rootMeanSquaredError)
+    return SeasonalModel(linear, names, span["first"], span["last"], margin)
 
 
 def seasonal_rows(model: SeasonalModel, daily: DataFrame, horizon: int = 90) -> DataFrame:
@@ -280,15 +282,14 @@ def seasonal_rows(model: SeasonalModel, daily: DataFrame, horizon: int = 90) ->
     ahead = future_days(daily, horizon).select(
         "Date", F.lit(None).cast("double").alias("Revenue"), F.lit("Forecast").alias("Type")
     )
-    margin = Z95 * model.spread
     fitted = past.unionByName(ahead).withColumns(
         {"Predicted_Revenue": model.yhat(), "Trend": model.trend()}
     )
     return fitted.withColumns(
         {
-            "Lower_Bound": F.col("Predicted_Revenue") - margin,
-            "Upper_Bound": F.col("Predicted_Revenue") + margin,
-            "Confidence_Interval": F.lit(2 * margin),
+            "Lower_Bound": F.col("Predicted_Revenue") - model.margin,
+            "Upper_Bound": F.col("Predicted_Revenue") + model.margin,
+            "Confidence_Interval": F.lit(2 * model.margin),
         }
     )
 
@@ -329,13 +330,17 @@ def _design(days: np.ndarray, first: float, last: float) -> np.ndarray:
     return np.column_stack(parts)
 
 
-def forecast_per_group(daily: DataFrame, key: str, horizon: int = 90, ridge: float = 0.01) -> DataFrame:
+def forecast_per_group(
+    daily: DataFrame, key: str, horizon: int = 90, ridge: float = 0.01, level: float = 0.95
+) -> DataFrame:
     """The seasonal model for every series of (key, Date, Revenue).
 
     The input holds one row per key and day, so a group is as long as the calendar, however many sales
     a key has.
     """
 
+    width = _width(level)
+
     def solve(series: pd.DataFrame) -> pd.DataFrame:
         series = series.sort_values("Date")
         days = (pd.to_datetime(series["Date"]) - pd.Timestamp("1970-01-01")).dt.days.to_numpy(float)
@@ -349,7 +354,7 @@ def forecast_per_group(daily: DataFrame, key: str, horizon: int = 90, ridge: flo
             z.T @ z + ridge * len(y) * np.eye(z.shape[1]), z.T @ (y - y.mean())
         )
         residual = y - (y.mean() + z @ weights)
-        margin = Z95 * math.sqrt(float(np.mean(residual**2)))
+        margin = width * math.sqrt(float(np.mean(residual**2)))
         future = y.mean() + ((_design(ahead, days[0], days[-1]) - mean) / scale) @ weights
         return pd.DataFrame(
             {
