@@ -145,6 +145,7 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> Pla
             rank += whole * per + rest
             left -= whole * per + rest
     columns = np.array(rows, dtype=np.int64).reshape(-1, 5)
+    columns = columns[np.lexsort((columns[:, 1], columns[:, 0]))]
     return Plan(*(columns[:, i].copy() for i in range(5)), bins)
 
 
