@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import packing, quality, url_filter
+from marketloom.llm import lm_score, packing, pii, quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": lm_score.op1,
+    "op2_personal_data": pii.op2,
     "op6_best_fit_packing": packing.op6,
     "op9_quality_rules": quality.op9,
     "op10_url_filter": url_filter.op10,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,14 +66,17 @@ def words_of(data: bytes) -> list[bytes]:
     return data.split()
 
 
-def map_arrow(
-    df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(step, schema)
-
-
-def binary_values(column: pa.Array) -> list[bytes]:
-    return column.to_pylist()
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about this many rows, for steps that work on whole columns."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def run_starts(sorted_values: np.ndarray) -> np.ndarray:
