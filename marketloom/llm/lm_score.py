@@ -7,8 +7,8 @@ segmentations of the product of the piece probabilities, by the forward recursio
 is the product over its words times the probability of the end.
 
 The vocabulary and its scores are existing ones (a public tokenizer's file). Its scores are merge ranks, so the
-first weights are a Zipf law of the rank; one expectation-maximisation step over the counts of all distinct
-training words turns them into piece probabilities of the training corpus.
+first weights are a Zipf law of the rank; ``STEPS`` expectation-maximisation steps over the counts of all distinct
+training words turn them into piece probabilities of the training corpus.
 
 Words are counted over the whole corpus. Lattices are evaluated once for each distinct word, in tasks over
 the table of words. Texts meet the words' scores by a join, except for the words that make up at least
@@ -41,6 +41,8 @@ HOT_BYTES = 64
 HELD_COUNTS = 300_000
 #: Words whose lattices are evaluated together.
 WORDS_AT_ONCE = 1 << 15
+#: Expectation-maximisation steps over the training words.
+STEPS = 2
 #: Pseudo-count of the first weights in the re-estimation, in pieces for the whole vocabulary.
 PRIOR = 1000.0
 
@@ -270,7 +272,9 @@ def score_texts(
         F.sum("total").alias("all"),
     ).first()
     tokens, distinct, total = sums["tokens"] or 0, sums["distinct"] or 0, sums["all"] or 0
-    pieces = reestimate(counts, read_vocabulary(vocabulary_path or default_vocabulary()))
+    pieces = read_vocabulary(vocabulary_path or default_vocabulary())
+    for _ in range(STEPS):
+        pieces = reestimate(counts, pieces)
     scored = staged(scored_words(counts, pieces, tokens, distinct), "scored_words")
 
     # Words with at least 1 in HOT_PARTS of all tokens: HOT_PARTS rows at most.
