@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import html_text, lm_score, packing, pii, quality, url_filter
+from marketloom.llm import html_text, lm_score, near_dups, packing, pii, quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": lm_score.op1,
     "op2_personal_data": pii.op2,
+    "op3_near_duplicates": near_dups.op3,
     "op5_page_text": html_text.op5,
     "op6_best_fit_packing": packing.op6,
     "op9_quality_rules": quality.op9,
