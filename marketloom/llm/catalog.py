@@ -6,14 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import html_text, lm_score, near_dups, packing, pii, quality, url_filter
+from marketloom.llm import (
+    decontaminate,
+    html_text,
+    line_chunks,
+    lm_score,
+    near_dups,
+    packing,
+    pii,
+    quality,
+    suffixes,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": lm_score.op1,
     "op2_personal_data": pii.op2,
     "op3_near_duplicates": near_dups.op3,
+    "op4_benchmark_leaks": decontaminate.op4,
     "op5_page_text": html_text.op5,
     "op6_best_fit_packing": packing.op6,
+    "op7_line_chunks": line_chunks.op7,
+    "op8_repeated_bytes": suffixes.op8,
     "op9_quality_rules": quality.op9,
     "op10_url_filter": url_filter.op10,
 }
