@@ -34,6 +34,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Chunks a worker remembers the ids of; the memory is emptied when it is full.
 REMEMBERED = 400_000
+#: Words encoded in one call.
+TOGETHER = 4096
 SHARDS = 1024
 
 # White space other than space and line feed, and characters some engines take for it.
@@ -167,20 +169,57 @@ class ChunkTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        (self.feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words with at most one space before them, many to a call.
+
+        A line feed between two words is a token of its own, and none of the words has one, so the ids fall
+        apart at its id.
+        """
+        out: list[bytes] = []
+        for i in range(0, len(words), TOGETHER):
+            part = words[i : i + TOGETHER]
+            joined = self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0]
+            ids = np.array(joined.ids, dtype="<u4")
+            edges = (4 * np.flatnonzero(ids == self.feed)).tolist()
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *(e + 4 for e in edges)], [*edges, len(data)], strict=True)]
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of chunks: white space, then a word or the end of a text."""
+        single, heads, tails, rest = [], [], [], []
+        for c in chunks:
+            word = c.lstrip("\n")
+            if word and (word[0] != " " or (len(word) > 1 and word[1] not in " \n")):
+                single.append(c)
+                heads.append(len(c) - len(word))
+                tails.append(word)
+            else:
+                rest.append(c)
+        # Line feeds before a word that has no space are tokens of their own if there is one of them only.
+        plain = [i for i, (h, w) in enumerate(zip(heads, tails, strict=True)) if h == 0 or (h == 1 and w[0] != " ")]
+        chosen = set(plain)
+        rest += [c for i, c in enumerate(single) if i not in chosen]
+        feed = np.array([self.feed], dtype="<u4").tobytes()
+        for i, ids in zip(plain, self._encode_words([tails[i] for i in plain]), strict=True):
+            self.known[single[i]] = feed * heads[i] + ids
+        self.known.update(zip(rest, self._encode(rest), strict=True))
+
     def ids(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
         cut = [None if _ODD_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
-        missing = list({c for chunks in cut if chunks for c in chunks if c not in known})
-        known.update(zip(missing, self._encode(missing), strict=True))
+        distinct = set().union(*(chunks for chunks in cut if chunks))
+        self._learn([c for c in distinct if c not in known])
         whole = iter(self._encode([t for t, chunks in zip(texts, cut, strict=True) if chunks is None]))
-        return [next(whole) if chunks is None else b"".join([known[c] for c in chunks]) for chunks in cut]
+        return [next(whole) if chunks is None else b"".join(map(known.__getitem__, chunks)) for chunks in cut]
 
 
 def worker_tokenizer(path: str) -> ChunkTokenizer:
