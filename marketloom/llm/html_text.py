@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import ready, table
 
 FIT_PAGES = 200
+#: Copies in other markup made of each.
+COPIES = 4
 #: Longer pages are not used for fitting.
 FIT_CHARS = 200_000
 TEXT, REST = 1, 0
@@ -193,7 +195,8 @@ class Chain:
                     continue
                 for name, g in self._gradient(blocks, gold).items():
                     w = self.turns[name[0]][name[1]] if isinstance(name, tuple) else self.weights.get(name, 0.0)
-                    g -= decay * w
+                    # Label changes are held back more, so that the names of elements decide.
+                    g -= (50 * decay if isinstance(name, tuple) else decay) * w
                     squares[name] = squares.get(name, 1e-2) + g * g
                     w += rate * g / math.sqrt(squares[name])
                     if isinstance(name, tuple):
@@ -249,6 +252,9 @@ def respelled(page: str, k: int, borrowed: list[str]) -> tuple[list[Block], list
         lines = (f"<p>{text}</p>", f"<ul><li><a href=\"/\">{text}</a></li></ul>", f"<div>{text}</div>", f"<p>{text}</p><p>{text}</p>")
         extra.append(_element(names[(k * 5 + i * 11) % len(names)], lines[(k + i) % 4], k + i))
     inside = parts[1]
+    if k % 4 > 1:
+        # Articles without a heading.
+        inside = re.sub(r"<h1>.*?</h1>", "", inside, flags=re.S)
     cut = inside.find("</p>") + 4
     if k % 3 == 0 and cut > 4:
         inside = inside[:cut] + extra[0] + inside[cut:]
@@ -277,8 +283,8 @@ def training_pages(pages: list[str]) -> list[tuple[list[Block], list[int]]]:
             rows.append((blocks, gold))
             borrowed += [b.text[:200] for b in blocks[:2] + blocks[-2:]]
     for k, page in enumerate(pages):
-        for way in range(2):
-            if copy := respelled(page, 2 * k + way, borrowed):
+        for way in range(COPIES):
+            if copy := respelled(page, COPIES * k + way, borrowed):
                 rows.append(copy)
     return rows
 
