@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions.columns import first_word, ratio
-from marketloom.functions.keys import spread
 from marketloom.operators.marts import product_info
 from marketloom.operators.reports import top_k_per_key
 from marketloom.session import stored
@@ -18,6 +17,10 @@ from marketloom.sources.schemas import MONEY
 
 # Similarities are ranked and reported at this precision, so summation order cannot reorder ties.
 DIGITS = 9
+#: Ids in a block; a task meets two blocks.
+BLOCK_IDS = 4096
+#: Cells of the other block that a task multiplies at once.
+POSTINGS = 1 << 20
 
 
 def interactions(customer_sales: DataFrame) -> DataFrame:
@@ -63,155 +66,83 @@ def unit_vectors(cells: DataFrame, entity: str, feature: str, weight: str) -> Da
     )
 
 
-def _vectors(df: DataFrame, side: str, columns: Sequence[str] = ("id", "w")) -> DataFrame:
-    return df.select("f", *[F.col(c).alias(f"{c}_{side}") for c in columns])
-
-
-def _both_ways(pairs: DataFrame) -> DataFrame:
-    """Each pair seen from either id. Exploded, so the pairs are formed once."""
-    ends = F.array(
-        F.struct(F.col("id_a").alias("id"), F.col("id_b").alias("other")),
-        F.struct(F.col("id_b").alias("id"), F.col("id_a").alias("other")),
-    )
-    return pairs.select(F.explode(ends).alias("end"), "dot").select(
-        F.col("end.id").alias("id_a"), F.col("end.other").alias("id_b"), "dot"
-    )
-
-
-def _closest(pairs: DataFrame, k: int) -> DataFrame:
-    rounded = pairs.select("id_a", "id_b", F.round("dot", DIGITS).alias("similarity"))
-    best = top_k_per_key(rounded, ["id_a"], [F.col("similarity").desc(), F.col("id_b")], k, "rank")
-    return best.select(F.col("id_a").alias("id"), F.col("id_b").alias("neighbour"), "similarity", "rank")
-
+def _block_best(block: pa.Table, k: int) -> pa.Table:
+    """The k most similar right ids of every left id in one pair of blocks, ties by id.
 
-def _pairs_by_rare_features(unit: DataFrame, counts: DataFrame, group_limit: int) -> DataFrame:
-    """Dot products over the features that at most ``group_limit`` ids share, for id_a < id_b.
-
-    A feature of one id makes no pair. The others make at most ``group_limit`` pairs per cell.
+    Each left id's dot products with all right ids are added up feature by feature, in the order of the
+    features, so both directions of a pair give the same sum.
     """
-    rare = counts.where(F.col("_ids").between(2, group_limit)).select("f")
-    cells = unit.join(rare, "f", "left_semi")
-    return (
-        _vectors(cells, "a")
-        .join(_vectors(cells, "b"), "f")
-        .where(F.col("id_a") < F.col("id_b"))
-        .groupBy("id_a", "id_b")
-        .agg(F.sum(F.col("w_a") * F.col("w_b")).alias("dot"))
-    )
-
-
-def nearest(unit: DataFrame, k: int = 5, group_limit: int = 2000) -> DataFrame:
+    table = block.to_pandas()
+    left, right = table[table["side"] == 0], table[table["side"] == 1]
+    codes, _ = pd.factorize(table["f"], sort=True)
+    left_f, right_f = codes[table["side"] == 0], codes[table["side"] == 1]
+    names, who = np.unique(right["id"].to_numpy(dtype=object), return_inverse=True)
+    order = np.argsort(right_f, kind="stable")
+    postings_f, postings_id = right_f[order], who[order]
+    postings_w = right["w"].to_numpy(dtype=float)[order]
+    mine = np.lexsort((left_f, left["id"].to_numpy(dtype=object)))
+    ids, weights, features = left["id"].to_numpy(dtype=object)[mine], left["w"].to_numpy(dtype=float)[mine], left_f[mine]
+    low = np.searchsorted(postings_f, features, side="left")
+    sizes = np.searchsorted(postings_f, features, side="right") - low
+    edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else []
+    out: dict[str, list] = {"id": [], "neighbour": [], "similarity": []}
+    for start, end in zip(edges, [*edges[1:], len(ids)], strict=True):
+        dots, met = np.zeros(len(names)), np.zeros(len(names), dtype=bool)
+        at = start
+        while at < end:
+            # So many features at once that their postings stay small.
+            upto = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:end]), POSTINGS, side="right")))
+            size = sizes[at:upto]
+            shift = low[at:upto] - np.concatenate([[0], np.cumsum(size)[:-1]])
+            entry = np.repeat(shift, size) + np.arange(size.sum())
+            dots += np.bincount(
+                postings_id[entry], np.repeat(weights[at:upto], size) * postings_w[entry], len(names)
+            )
+            met[postings_id[entry]] = True
+            at = upto
+        found = np.flatnonzero(met)
+        found = found[names[found] != ids[start]]
+        scores = np.round(dots[found], DIGITS)
+        best = np.argsort(-scores, kind="stable")[:k]
+        out["id"] += [ids[start]] * len(best)
+        out["neighbour"] += names[found[best]].tolist()
+        out["similarity"] += scores[best].tolist()
+    kinds = [pa.string(), pa.string(), pa.float64()]
+    return pa.table([pa.array(c, t) for c, t in zip(out.values(), kinds, strict=True)], names=list(out))
+
+
+def nearest(unit: DataFrame, k: int = 5, block_ids: int = BLOCK_IDS) -> DataFrame:
     """The k most similar other ids per id that share a feature with it: id, neighbour, similarity, rank.
 
-    Exact, with ties by id. Pairs are formed through rare features only. Ids that share nothing but hot
-    features (shared by more than ``group_limit`` ids) are ranked by ``_hot_partners`` instead, without
-    meeting each other one by one.
-    """
-    counts = unit.groupBy("f").agg(F.count(F.lit(1)).alias("_ids"))
-    pairs = _pairs_by_rare_features(unit, counts, group_limit)
-    hot_features = counts.where(F.col("_ids") > group_limit).select("f")
-    if hot_features.isEmpty():
-        return _closest(_both_ways(pairs), k)
-
-    hot = unit.join(hot_features, "f", "left_semi")
-    hot_dot = (
-        pairs.select("id_a", "id_b")
-        .join(hot.select(F.col("id").alias("id_a"), "f", F.col("w").alias("w_a")), "id_a")
-        .join(hot.select(F.col("id").alias("id_b"), "f", F.col("w").alias("w_b")), ["id_b", "f"])
-        .groupBy("id_a", "id_b")
-        .agg(F.sum(F.col("w_a") * F.col("w_b")).alias("_hot"))
-    )
-    whole = pairs.join(hot_dot, ["id_a", "id_b"], "left").select(
-        "id_a", "id_b", (F.col("dot") + F.coalesce("_hot", F.lit(0.0))).alias("dot")
-    )
-    met = _both_ways(whole)
-    hot_only = _hot_partners(hot, 2 * k + 1).join(met.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
-    return _closest(met.unionByName(hot_only), k)
-
-
-def _hot_partners(hot: DataFrame, keep: int) -> DataFrame:
-    """The best ``keep`` partners per id by hot features alone, ties by id, without the id itself.
-
-    With keep = 2k + 1 this is enough for the k best: of these one may be the id itself; others may
-    share rare features too, but those then count with a higher similarity among the met pairs.
-
-    Ids with equal hot cells (a profile) have equal lists, so lists are made per profile. A profile with
-    one hot feature ranks its partners by their weight in that feature: one list per feature serves all.
-    Profiles with several hot features start from those lists; their last score, as a lower bound, and
-    the lengths of the hot vectors then exclude most other profiles before dot products are formed.
+    Exact, with ties by id. Ids are dealt into blocks of about ``block_ids`` by hash, and every block meets
+    every block in a task of its own, which passes on k rows for each of its ids. A feature that all ids
+    share is spread over all tasks like any other, and no pair of ids becomes a row.
     """
-    shape = hot.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("cells"))
-    profiles = shape.groupBy("cells").agg(F.min("id").alias("profile"))
-    member_of = shape.join(profiles, "cells").select("id", "profile")
-    length = F.sqrt(F.aggregate("cells", F.lit(0.0), lambda s, c: s + c["w"] * c["w"]))
-    cells = profiles.select(
-        "profile", F.size("cells").alias("width"), length.alias("length"), F.explode("cells").alias("c")
-    ).select("profile", "width", "length", F.col("c.f").alias("f"), F.col("c.w").alias("w"))
-    # Of equal ids only the first can be partners.
-    firsts = top_k_per_key(member_of, ["profile"], [F.col("id")], keep, "_place").drop("_place")
-    heads = top_k_per_key(
-        hot.join(firsts.select("id"), "id", "left_semi"),
-        ["f"],
-        [F.col("w").desc(), F.col("id")],
-        keep,
-        "_place",
-    ).select("f", F.col("id").alias("id_b"), F.col("w").alias("w_b"))
-
-    narrow = (
-        cells.where(F.col("width") == 1)
-        .join(heads, "f")
-        .select("profile", "id_b", (F.col("w") * F.col("w_b")).alias("dot"))
-    )
-
-    wide = cells.where(F.col("width") > 1)
-    starters = wide.select("profile", "f").join(heads.select("f", "id_b"), "f").select(
-        "profile", "id_b"
-    ).distinct()
-    start_dots = (
-        starters.join(wide.select("profile", "f", "w"), "profile")
-        .join(hot.select(F.col("id").alias("id_b"), "f", F.col("w").alias("w_b")), ["id_b", "f"])
-        .groupBy("profile", "id_b")
-        .agg(F.sum(F.col("w") * F.col("w_b")).alias("dot"))
-    )
-    last = top_k_per_key(start_dots, ["profile"], [F.col("dot").desc(), F.col("id_b")], keep, "_place")
-    floors = last.where(F.col("_place") == keep).select("profile", F.col("dot").alias("floor"))
-    queries = wide.join(floors, "profile", "left").select(
-        "f",
-        F.col("profile").alias("profile_a"),
-        F.col("w").alias("w_a"),
-        # A hair lower, so equal scores are compared by id and not lost to rounding.
-        ((F.coalesce("floor", F.lit(0.0)) - 1e-9) / F.col("length")).alias("reach"),
-    )
-    others = _vectors(cells, "b", ["profile", "w", "length"])
-    queries, others = spread(queries, others, "profile_a", 32)
-    wide_dots = (
-        queries.join(others, ["f", "_way"])
-        .where(F.col("length_b") >= F.col("reach"))
-        .groupBy("profile_a", "profile_b")
-        .agg(F.sum(F.col("w_a") * F.col("w_b")).alias("dot"))
+    blocks = unit.agg(
+        F.greatest(F.lit(1), F.ceil(F.count_distinct("id") / F.lit(block_ids))).cast("int")
+    ).scalar()
+    cells = unit.withColumn("_blocks", blocks).withColumn(
+        "_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     )
-    # keep profiles are enough: each brings at least one id, and their first ids decide ties.
-    best = top_k_per_key(
-        wide_dots, ["profile_a"], [F.col("dot").desc(), F.col("profile_b")], keep, "_place"
+    dealt = cells.withColumn("_met", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("_own").alias("i"), F.col("_met").alias("j")),
+        F.struct(F.lit(1).alias("side"), F.col("_met").alias("i"), F.col("_own").alias("j")),
     )
-    spelled = best.join(
-        firsts.select(F.col("profile").alias("profile_b"), F.col("id").alias("id_b")), "profile_b"
-    ).select(F.col("profile_a").alias("profile"), "id_b", "dot")
-
-    lists = top_k_per_key(
-        narrow.unionByName(spelled), ["profile"], [F.col("dot").desc(), F.col("id_b")], keep, "_place"
+    both = dealt.select("id", "f", "w", F.explode(sides).alias("at")).select(
+        "at.i", "at.j", "at.side", F.col("id").cast("string"), F.col("f").cast("string"), "w"
     )
-    return (
-        member_of.join(lists.select("profile", "id_b", "dot"), "profile")
-        .where(F.col("id") != F.col("id_b"))
-        .select(F.col("id").alias("id_a"), "id_b", "dot")
+    found = both.groupBy("i", "j").applyInArrow(
+        lambda block: _block_best(block, k), "id string, neighbour string, similarity double"
     )
+    order = [F.col("similarity").desc(), F.col("neighbour")]
+    return top_k_per_key(found, ["id"], order, k, "rank").select("id", "neighbour", "similarity", "rank")
 
 
-def customer_similarity(inter: DataFrame, neighbours: int = 5, group_limit: int = 2000) -> DataFrame:
+def customer_similarity(inter: DataFrame, neighbours: int = 5, block_ids: int = BLOCK_IDS) -> DataFrame:
     """The most similar other customers by cosine of scaled spend."""
     unit = unit_vectors(minmax_scaled(inter), "CustomerID", "StockCode", "Scaled")
-    return nearest(stored(unit), neighbours, group_limit).select(
+    return nearest(stored(unit), neighbours, block_ids).select(
         F.col("id").alias("CustomerID"),
         F.col("neighbour").alias("Neighbour"),
         F.col("similarity").alias("Similarity"),
@@ -219,10 +150,10 @@ def customer_similarity(inter: DataFrame, neighbours: int = 5, group_limit: int
     )
 
 
-def product_similarity(inter: DataFrame, neighbours: int = 5, group_limit: int = 2000) -> DataFrame:
+def product_similarity(inter: DataFrame, neighbours: int = 5, block_ids: int = BLOCK_IDS) -> DataFrame:
     """The most similar other products by cosine of the scaled spend of their buyers."""
     unit = unit_vectors(minmax_scaled(inter), "StockCode", "CustomerID", "Scaled")
-    return nearest(stored(unit), neighbours, group_limit).select(
+    return nearest(stored(unit), neighbours, block_ids).select(
         F.col("id").alias("StockCode"),
         F.col("neighbour").alias("Neighbour"),
         F.col("similarity").alias("Similarity"),
@@ -244,69 +175,18 @@ def unseen_items(near: DataFrame, inter: DataFrame) -> DataFrame:
     return scored.join(inter.select("CustomerID", "StockCode"), ["CustomerID", "StockCode"], "left_anti")
 
 
-def _scores_with_large_neighbours(near: DataFrame, inter: DataFrame, sizes: DataFrame, k: int, large: int):
-    """Scores of products that can be among a customer's k best, without spelling out long lists.
-
-    A customer with one neighbour of more than ``large`` products gets only the head of that list, by
-    spend: as many products as the customer owns, plus k. At least k of them are unseen, and each beats
-    every product that only the rest of the list holds. What the long list adds to products of other
-    neighbours is looked up. With two such neighbours their sums could win from the rest, so these
-    customers get all lists whole.
-    """
-    theirs = inter.select(F.col("CustomerID").alias("Neighbour"), "StockCode", "Spend")
-    long = sizes.where(F.col("_items") > large).select(F.col("CustomerID").alias("Neighbour"))
-    marked = near.join(long.withColumn("_long", F.lit(1)), "Neighbour", "left")
-    several = (
-        marked.groupBy("CustomerID").agg(F.count("_long").alias("_n")).where(F.col("_n") > 1)
-    ).select("CustomerID")
-    single = marked.where(F.col("_long").isNotNull()).join(several, "CustomerID", "left_anti").select(
-        "CustomerID", "Neighbour", "Similarity"
-    )
-    whole = near.join(single.select("CustomerID", "Neighbour"), ["CustomerID", "Neighbour"], "left_anti")
-    base = whole.join(theirs, "Neighbour").select("CustomerID", "StockCode", _contribution().alias("_c"))
-
-    place = F.row_number().over(
-        W.partitionBy("Neighbour").orderBy(F.col("Spend").desc(), F.col("StockCode"))
-    )
-    lists = theirs.join(long, "Neighbour", "left_semi").withColumn("_place", place)
-    heads = (
-        single.join(sizes, "CustomerID")
-        .join(lists, "Neighbour")
-        .where(F.col("_place") <= F.col("_items") + k)
-        .select("CustomerID", "StockCode", F.lit(0).cast("decimal(38,11)").alias("_c"))
-    )
-    candidates = base.unionByName(heads).groupBy("CustomerID", "StockCode").agg(F.sum("_c").alias("_short"))
-    looked_up = (
-        candidates.select("CustomerID", "StockCode")
-        .join(single, "CustomerID")
-        .join(theirs, ["Neighbour", "StockCode"])
-        .select("CustomerID", "StockCode", _contribution().alias("_extra"))
-    )
-    return candidates.join(looked_up, ["CustomerID", "StockCode"], "left").select(
-        "CustomerID",
-        "StockCode",
-        (F.col("_short") + F.coalesce("_extra", F.lit(0))).alias("Score"),
-    )
-
-
-def best_unseen(near: DataFrame, inter: DataFrame, k: int = 5, large: int = 10_000) -> DataFrame:
+def best_unseen(near: DataFrame, inter: DataFrame, k: int = 5) -> DataFrame:
     """The k best products per customer among those its neighbours bought and it did not."""
-    sizes = inter.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("_items"))
-    if sizes.where(F.col("_items") > large).isEmpty():
-        scored = unseen_items(near, inter)
-    else:
-        scored = _scores_with_large_neighbours(near, inter, sizes, k, large).join(
-            inter.select("CustomerID", "StockCode"), ["CustomerID", "StockCode"], "left_anti"
-        )
-    return top_k_per_key(scored, ["CustomerID"], [F.col("Score").desc(), F.col("StockCode")], k)
+    order = [F.col("Score").desc(), F.col("StockCode")]
+    return top_k_per_key(unseen_items(near, inter), ["CustomerID"], order, k)
 
 
 def neighbour_recommendations(
-    customer_sales: DataFrame, neighbours: int = 5, k: int = 5, group_limit: int = 2000
+    customer_sales: DataFrame, neighbours: int = 5, k: int = 5, block_ids: int = BLOCK_IDS
 ) -> DataFrame:
     """The best unseen products per customer, weighted by similarity and the neighbours' spend."""
     inter = spend_matrix(customer_sales)
-    near = stored(customer_similarity(inter, neighbours, group_limit))
+    near = stored(customer_similarity(inter, neighbours, block_ids))
     best = best_unseen(near, inter, k)
     info = product_info(customer_sales).select("StockCode", "Description", "AveragePrice")
     return best.join(info, "StockCode").select(

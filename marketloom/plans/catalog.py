@@ -233,6 +233,10 @@ CTES = {
         SELECT StockCode AS id, CustomerID AS f,
                Scaled / SQRT(SUM(Scaled * Scaled) OVER (PARTITION BY StockCode)) AS w
         FROM scaled WHERE Scaled <> 0""",
+    "described": """
+        SELECT id, f, w / SQRT(SUM(w * w) OVER (PARTITION BY id)) AS w
+        FROM (SELECT CustomerID AS id, Description AS f, CAST(SUM(TotalAmount) AS DOUBLE) AS w
+              FROM cust_sales WHERE Description IS NOT NULL GROUP BY 1, 2 HAVING SUM(TotalAmount) <> 0)""",
     "customer_near": """
         SELECT * FROM (
           SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY CustomerID ORDER BY Similarity DESC, Neighbour)

@@ -9,6 +9,8 @@ from marketloom.plans.catalog import add, rounded
 
 # The sample products are even, so the support floor is below the usual one percent.
 SUPPORT = 0.003
+# Nor do their prices differ by the usual factor of 1.5.
+HIGH_VALUE = 1.03
 
 # --------------------------------------------------------------------- baskets
 
@@ -128,6 +130,29 @@ add(
                FROM product_unit a JOIN product_unit b ON a.f = b.f AND a.id <> b.id GROUP BY 1, 2))
        WHERE Rank <= 5""",
 )
+add(
+    "customer_similarity_by_description",
+    # The samples have few product names, so each is shared by a large part of the customers.
+    lambda t: similarity.nearest(
+        similarity.unit_vectors(
+            t.customer_sales.where(F.col("Description").isNotNull())
+            .groupBy("CustomerID", "Description")
+            .agg(F.sum("TotalAmount").cast("double").alias("Spend")),
+            "CustomerID",
+            "Description",
+            "Spend",
+        )
+    ).select(
+        F.col("id").alias("CustomerID"),
+        F.col("neighbour").alias("Neighbour"),
+        F.col("similarity").alias("Similarity"),
+    ).where(F.col("rank") <= 3).groupBy("CustomerID").agg(
+        F.max("Similarity").alias("Closest"), F.count(F.lit(1)).alias("Neighbours")
+    ),
+    """SELECT CustomerID, ROUND(MAX(dot), 9) AS Closest, LEAST(COUNT(*), 3) AS Neighbours
+       FROM (SELECT a.id AS CustomerID, b.id AS Neighbour, SUM(a.w * b.w) AS dot
+             FROM described a JOIN described b ON a.f = b.f AND a.id <> b.id GROUP BY 1, 2) GROUP BY 1""",
+)
 add(
     "similarity_join",
     _on_matrix(lambda inter: similarity.shared_products(_near(inter), inter)),
@@ -204,8 +229,8 @@ add(
 )
 add(
     "high_value_recs",
-    lambda t: similarity.high_value_recommendations(_recs(t), t.customer_sales, 1.5),
-    """SELECT * FROM recs WHERE AveragePrice > 1.5 * (
+    lambda t: similarity.high_value_recommendations(_recs(t), t.customer_sales, HIGH_VALUE),
+    """SELECT * FROM recs WHERE AveragePrice > 1.03 * (
          SELECT CAST(SUM(UnitPrice) AS DOUBLE) / COUNT(UnitPrice) FROM cust_sales WHERE Description IS NOT NULL)""",
 )
 add(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+from decimal import Decimal
 
 import pytest
 
@@ -63,7 +64,7 @@ def _random_cells(seed, ids, features, hot, copies=0):
 
 @pytest.mark.parametrize(
     ("seed", "hot", "copies", "limit"),
-    [(1, 0, 0, 2000), (2, 1, 0, 8), (3, 1, 30, 8), (4, 3, 0, 8), (5, 3, 30, 8), (6, 2, 40, 3)],
+    [(1, 0, 0, 4096), (2, 1, 0, 8), (3, 1, 30, 30), (4, 3, 0, 20), (5, 3, 30, 8), (6, 2, 40, 45)],
 )
 @pytest.mark.parametrize("k", [1, 5])
 def test_nearest_equals_brute_force(spark, seed, hot, copies, limit, k):
@@ -134,25 +135,44 @@ def test_recommendations_are_unseen_and_named_once(spark, make_lines):
     assert to_u[0]["AveragePrice"] == pytest.approx(5.0)
 
 
-@pytest.mark.parametrize("large", [1, 3, 12, 25])
-def test_long_product_lists_of_neighbours_give_the_same_recommendations(spark, large):
-    rng = random.Random(large)
+@pytest.mark.parametrize("block_ids", [4, 4096])
+def test_ties_within_rounding_go_by_id(spark, block_ids):
+    """Similarities that differ behind the reported digits are equal, however the ids are dealt."""
+    vectors = {f"c{i:02d}": {"x": 0.5 + i * 1e-11} for i in range(20)}
+    found = _found(spark, vectors, 2, block_ids)
+    assert [b for b, _ in found["c00"]] == ["c01", "c02"]
+    assert [b for b, _ in found["c19"]] == ["c00", "c01"]
+
+
+def test_similarity_that_rounds_to_zero_still_counts(spark):
+    vectors = _unit({"a": {"x": 1.0, "z": 1e-7}, "b": {"y": 1.0, "z": 1e-7}, "c": {"x": 1.0}})
+    found = _found(spark, vectors, 5, 4096)
+    assert found["b"] == [("a", 0.0)]
+    assert [b for b, _ in found["a"]] == ["c", "b"]
+
+
+def test_best_unseen_equals_brute_force(spark):
+    rng = random.Random(4)
     products = [f"p{i:02d}" for i in range(40)]
-    rows = {(f"c{i:02d}", p, rng.randint(1, 9) * 10) for i in range(40) for p in rng.sample(products, rng.randint(1, 5))}
-    rows |= {("huge", p, rng.randint(1, 9) * 10) for p in products}
-    rows |= {("also", p, rng.randint(1, 9) * 10) for p in products[::2]}
-    cells = {}
-    for customer, product, spend in sorted(rows):
-        cells[(customer, product)] = spend
+    cells = {(f"c{i:02d}", p): rng.randint(1, 9) * 10 for i in range(40) for p in rng.sample(products, rng.randint(1, 5))}
+    cells |= {("huge", p): rng.randint(1, 9) * 10 for p in products}
     inter = spark.createDataFrame(
         [(c, p, s) for (c, p), s in cells.items()], "CustomerID STRING, StockCode STRING, Spend INT"
     ).selectExpr("CustomerID", "StockCode", "CAST(Spend AS DECIMAL(28,2)) AS Spend")
     near = similarity.customer_similarity(inter, 5)
-    simple = similarity.best_unseen(near, inter, 4, large=10_000)
-    pruned = similarity.best_unseen(near, inter, 4, large=large)
-    columns = ["CustomerID", "StockCode", "Score", "Rank"]
-    assert sorted(map(tuple, pruned.select(columns).collect())) == sorted(map(tuple, simple.select(columns).collect()))
-    assert simple.count() > 100
+    scores = {}
+    for r in near.collect():
+        for (c, p), spend in cells.items():
+            if c == r["Neighbour"] and (r["CustomerID"], p) not in cells:
+                key = (r["CustomerID"], p)
+                scores[key] = scores.get(key, 0) + Decimal(repr(r["Similarity"])).quantize(Decimal("1e-9")) * spend
+    wanted = {}
+    for (c, p), score in scores.items():
+        wanted.setdefault(c, []).append((-score, p))
+    found = {}
+    for r in sorted(similarity.best_unseen(near, inter, 4).collect(), key=lambda r: r["Rank"]):
+        found.setdefault(r["CustomerID"], []).append((-r["Score"], r["StockCode"]))
+    assert found == {c: sorted(rows)[:4] for c, rows in wanted.items()}
 
 
 def test_with_descriptions_does_not_fan_out(spark):
