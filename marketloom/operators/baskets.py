@@ -23,22 +23,27 @@ from marketloom.operators.reports import top_k_per_key
 from marketloom.session import stored
 
 
-def basket_sizes(sales: DataFrame, item: str = "Description") -> DataFrame:
-    """Invoices with at least two lines and their number of lines."""
+def item_lines(sales: DataFrame, item: str = "Description") -> DataFrame:
+    """Lines per invoice and product, stored: sizes, items and counts of baskets all come from it."""
     lines = sales.where(F.col(item).isNotNull() & F.col("InvoiceNo").isNotNull())
-    return (
-        lines.groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("Lines")).where(F.col("Lines") >= 2)
-    )
+    return stored(lines.groupBy("InvoiceNo", F.col(item).alias("Item")).agg(F.count(F.lit(1)).alias("ItemLines")))
+
+
+def basket_sizes(lines: DataFrame) -> DataFrame:
+    """Invoices with at least two lines and their number of lines, from ``item_lines``."""
+    return lines.groupBy("InvoiceNo").agg(F.sum("ItemLines").alias("Lines")).where(F.col("Lines") >= 2)
 
 
 def basket_items(sales: DataFrame, item: str = "Description") -> DataFrame:
     """The distinct products of invoices with at least two lines, one row per (invoice, product)."""
-    return (
-        sales.where(F.col(item).isNotNull())
-        .groupBy("InvoiceNo", F.col(item).alias("Item"))
-        .agg(F.count(F.lit(1)).alias("ItemLines"))
-        .join(basket_sizes(sales, item).select("InvoiceNo"), "InvoiceNo", "left_semi")
-    )
+    lines = item_lines(sales, item)
+    return lines.join(basket_sizes(lines).select("InvoiceNo"), "InvoiceNo", "left_semi")
+
+
+def basket_summary(sales: DataFrame, item: str = "Description") -> DataFrame:
+    """Lines and distinct products of every invoice with at least two lines."""
+    lines = item_lines(sales, item).groupBy("InvoiceNo")
+    return lines.agg(F.sum("ItemLines").alias("Lines"), F.count(F.lit(1)).alias("Items")).where(F.col("Lines") >= 2)
 
 
 def item_counts(items: DataFrame) -> DataFrame:
@@ -52,6 +57,7 @@ class Baskets:
     total: int
     floor: float
     items: DataFrame
+    invoices: DataFrame
 
     def share(self, count: Column | str) -> Column:
         return ratio(count, F.lit(self.total))
@@ -59,11 +65,13 @@ class Baskets:
 
 def frequent_baskets(sales: DataFrame, min_support: float, item: str = "Description") -> Baskets:
     """Baskets cut to the products that reach the support. The rows are stored: pairing reads them twice."""
-    total = basket_sizes(sales, item).count()
+    lines = item_lines(sales, item)
+    invoices = basket_sizes(lines).select("InvoiceNo")
+    total = invoices.count()
     floor = total * min_support
-    items = basket_items(sales, item).select("InvoiceNo", "Item")
+    items = lines.join(invoices, "InvoiceNo", "left_semi").select("InvoiceNo", "Item")
     frequent = item_counts(items).where(F.col("ItemCount") >= floor).select("Item")
-    return Baskets(total, floor, stored(items.join(frequent, "Item", "left_semi")))
+    return Baskets(total, floor, stored(items.join(frequent, "Item", "left_semi")), invoices)
 
 
 def _pair_counts(items: DataFrame, ways: int = 1) -> DataFrame:
@@ -151,10 +159,7 @@ def frequent_itemsets(
     empty = F.array().cast("array<string>")
     # Stored, because the model's itemsets and rules are computed from the baskets whenever they are read.
     rows = stored(
-        basket_sizes(sales, item)
-        .select("InvoiceNo")
-        .join(gathered, "InvoiceNo", "left")
-        .select(F.coalesce("items", empty).alias("items"))
+        baskets.invoices.join(gathered, "InvoiceNo", "left").select(F.coalesce("items", empty).alias("items"))
     )
     return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
 

@@ -61,10 +61,9 @@ class ChurnModel:
 def customer_lifecycle(sales: DataFrame) -> DataFrame:
     """First and last purchase, counts, spend, recency and lifetime per known customer."""
     lines = sales.where(F.col("CustomerID").isNotNull())
-    newest = lines.agg(F.max("InvoiceDate")).scalar()
-    return (
-        lines.groupBy("CustomerID")
-        .agg(
+    # The newest sale is the newest of the customers' last ones, so the lines are read once.
+    grouped = stored(
+        lines.groupBy("CustomerID").agg(
             F.min("InvoiceDate").alias("FirstPurchase"),
             F.max("InvoiceDate").alias("LastPurchase"),
             F.count(F.lit(1)).alias("TotalTransactions"),
@@ -74,14 +73,13 @@ def customer_lifecycle(sales: DataFrame) -> DataFrame:
                 "StdOrderValue"
             ),
         )
-        .withColumns(
-            {
-                "Recency": calendar_days("LastPurchase", newest),
-                "CustomerLifetime": F.coalesce(
-                    calendar_days("FirstPurchase", "LastPurchase"), F.lit(0)
-                ),
-            }
-        )
+    )
+    newest = grouped.agg(F.max("LastPurchase")).scalar()
+    return grouped.withColumns(
+        {
+            "Recency": calendar_days("LastPurchase", newest),
+            "CustomerLifetime": F.coalesce(calendar_days("FirstPurchase", "LastPurchase"), F.lit(0)),
+        }
     )
 
 

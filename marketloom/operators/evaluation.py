@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
     MulticlassClassificationEvaluator,
@@ -26,20 +28,29 @@ def mape_rmse_mae(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def binary_metrics(
-    predictions: DataFrame, label: str, prediction: str, raw: str = "rawPrediction"
-) -> DataFrame:
-    """Area under ROC, accuracy and weighted precision, one row per metric."""
-    scores = {
-        "auc": BinaryClassificationEvaluator(
+def binary_metric(
+    predictions: DataFrame, label: str, prediction: str, name: str, raw: str = "rawPrediction"
+) -> float:
+    """Area under ROC (``auc``), ``accuracy`` or weighted ``precision``."""
+    if name == "auc":
+        return BinaryClassificationEvaluator(
             labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC"
         ).evaluate(predictions)
-    }
-    for name, metric in {"accuracy": "accuracy", "precision": "weightedPrecision"}.items():
-        scores[name] = MulticlassClassificationEvaluator(
-            labelCol=label, predictionCol=prediction, metricName=metric
-        ).evaluate(predictions)
-    rows = [(name, float(value)) for name, value in scores.items()]
+    metric = {"accuracy": "accuracy", "precision": "weightedPrecision"}[name]
+    return MulticlassClassificationEvaluator(
+        labelCol=label, predictionCol=prediction, metricName=metric
+    ).evaluate(predictions)
+
+
+def binary_metrics(
+    predictions: DataFrame,
+    label: str,
+    prediction: str,
+    raw: str = "rawPrediction",
+    names: Sequence[str] = ("auc", "accuracy", "precision"),
+) -> DataFrame:
+    """One row per metric, and one evaluation for each that is asked for."""
+    rows = [(name, float(binary_metric(predictions, label, prediction, name, raw))) for name in names]
     return predictions.sparkSession.createDataFrame(rows, "metric STRING, value DOUBLE")
 
 

@@ -64,11 +64,17 @@ def rfm_fixed(
     lines = sales.where(
         F.col("CustomerID").isNotNull() & (F.col("TotalAmount") > 0) & F.col("InvoiceDate").isNotNull()
     )
-    newest = lines.agg(F.max("InvoiceDate")).scalar()
-    metrics = lines.groupBy("CustomerID").agg(
-        calendar_days(F.max("InvoiceDate"), newest).alias("Recency"),
-        F.count("InvoiceNo").alias("Frequency"),
-        F.sum("TotalAmount").alias("Monetary"),
+    # The newest sale is the newest of the customers' last ones, so the lines are read once.
+    grouped = stored(
+        lines.groupBy("CustomerID").agg(
+            F.max("InvoiceDate").alias("_last"),
+            F.count("InvoiceNo").alias("Frequency"),
+            F.sum("TotalAmount").alias("Monetary"),
+        )
+    )
+    newest = grouped.agg(F.max("_last")).scalar()
+    metrics = grouped.select(
+        "CustomerID", calendar_days("_last", newest).alias("Recency"), "Frequency", "Monetary"
     )
     scored = metrics.withColumns(
         {
@@ -82,11 +88,20 @@ def rfm_fixed(
 
 def rfm_metrics(customer_sales: DataFrame) -> DataFrame:
     """Days to the newest sale plus one day, distinct invoices and spend per customer."""
-    reference = customer_sales.agg(F.max("InvoiceDate") + F.expr("INTERVAL 1 DAY")).scalar()
-    return customer_sales.groupBy("CustomerID").agg(
-        elapsed_days(F.max("InvoiceDate"), reference).alias("Recency"),
-        F.count_distinct("InvoiceNo").alias("Frequency"),
-        F.sum("TotalAmount").alias("Monetary"),
+    # Invoices first: counting them distinct and the newest sale then need no second look at the lines.
+    invoices = customer_sales.groupBy("CustomerID", "InvoiceNo").agg(
+        F.max("InvoiceDate").alias("_last"), F.sum("TotalAmount").alias("_total")
+    )
+    grouped = stored(
+        invoices.groupBy("CustomerID").agg(
+            F.max("_last").alias("_last"),
+            F.count("InvoiceNo").alias("Frequency"),
+            F.sum("_total").cast("decimal(28,2)").alias("Monetary"),
+        )
+    )
+    reference = grouped.agg(F.max("_last") + F.expr("INTERVAL 1 DAY")).scalar()
+    return grouped.select(
+        "CustomerID", elapsed_days("_last", reference).alias("Recency"), "Frequency", "Monetary"
     )
 
 

@@ -58,6 +58,18 @@ add(
         forecast.forecast_lr_lags(_summary(t)), "actual_revenue", "forecasted_revenue"
     ),
 )
+add(
+    "eval_rmse_r2_index",
+    lambda t: evaluation.rmse_r2(
+        forecast.forecast_lr_index(_monthly(t)).where(F.col("Type") == "Historical"), "ActualSales", "PredictedSales"
+    ),
+)
+add(
+    "eval_rmse_r2_recursive",
+    lambda t: evaluation.rmse_r2(
+        _recursive(t).where(F.col("Type") == "Historical"), "Revenue", "Predicted_Revenue"
+    ),
+)
 add(
     "eval_forecast_errors",
     lambda t: evaluation.mape_rmse_mae(_recursive(t), "Revenue", "Predicted_Revenue"),

@@ -1,21 +1,38 @@
 """Clusters, churn models, frequent itemsets and factorisation: checked by rows and by tests.
 
-Registered model queries use fewer trees and rounds than the operators' defaults, to stay quick on the
-sample tables; the data is always whole.
+Models have their default parameters. A session fits each once per folder; the queries share the fit.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import functions as F
 
 from marketloom.operators import baskets, churn, evaluation, marts, recommend, reports, rfm, segments
 from marketloom.plans.catalog import add, rounded
+from marketloom.session import stored
+from marketloom.sources.samples import Tables
+
+_FITS: dict[tuple, Any] = {}
+
+
+def _once(t: Tables, name: str, fit: Callable[[], Any]) -> Any:
+    """What ``fit`` gives, computed at first use in this session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _FITS:
+        _FITS[key] = fit()
+    return _FITS[key]
+
 
 # -------------------------------------------------------------------- segments
 
 
 def _clustered(t):
-    return segments.customer_segments(marts.customer_order_features(t.customer_sales), restarts=3)
+    return _once(
+        t, "segments", lambda: stored(segments.customer_segments(marts.customer_order_features(t.customer_sales)))
+    )
 
 
 def _named(t):
@@ -35,16 +52,21 @@ add("spend_box_stats", lambda t: rfm.box_stats(_named(t), "Segment", "TotalSpend
 
 
 def _forest(t):
-    return churn.churn_rf(churn.customer_lifecycle(t.sales), trees=20, depth=5)
+    return _once(t, "forest", lambda: churn.churn_rf(churn.customer_lifecycle(t.sales)))
 
 
 def _boosted(t):
-    return churn.churn_gbt(churn.churn_features(t.customer_sales, home="NATION_0"), rounds=8, depth=4)
+    return _once(
+        t, "boosted", lambda: churn.churn_gbt(churn.churn_features(t.customer_sales, home="NATION_0"))
+    )
 
 
 def _metric(t, name):
-    scores = evaluation.binary_metrics(_forest(t).holdout, "Churn", "ChurnPrediction")
-    return scores.where(F.col("metric") == name)
+    return evaluation.binary_metrics(_forest(t).holdout, "Churn", "ChurnPrediction", names=[name])
+
+
+def _boosted_metric(t, name):
+    return evaluation.binary_metrics(_boosted(t).holdout, "Churned", "ChurnPrediction", names=[name])
 
 
 add("churn_rf", lambda t: churn.rf_output(_forest(t).predictions))
@@ -64,6 +86,8 @@ add(
 add("eval_auc", lambda t: _metric(t, "auc"))
 add("eval_accuracy", lambda t: _metric(t, "accuracy"))
 add("eval_precision", lambda t: _metric(t, "precision"))
+add("eval_auc_boosted", lambda t: _boosted_metric(t, "auc"))
+add("eval_accuracy_boosted", lambda t: _boosted_metric(t, "accuracy"))
 add(
     "eval_class_report",
     lambda t: evaluation.class_report(_boosted(t).holdout, "Churned", "ChurnPrediction"),
@@ -73,7 +97,7 @@ add(
 
 
 def _itemsets(t):
-    return baskets.frequent_itemsets(t.sales, 0.002, 0.03)
+    return _once(t, "itemsets", lambda: baskets.frequent_itemsets(t.sales, 0.002, 0.03))
 
 
 add(

@@ -16,10 +16,7 @@ HIGH_VALUE = 1.03
 
 add(
     "basket_items",
-    lambda t: baskets.basket_sizes(t.sales).join(
-        baskets.basket_items(t.sales).groupBy("InvoiceNo").agg(F.count(F.lit(1)).alias("Items")),
-        "InvoiceNo",
-    ),
+    lambda t: baskets.basket_summary(t.sales),
     """SELECT InvoiceNo, Lines, Items FROM basket_n
        JOIN (SELECT InvoiceNo, COUNT(*) AS Items FROM basket_rows GROUP BY InvoiceNo) USING (InvoiceNo)""",
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +17,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Settings a context only takes at its start: stored results go when nothing refers to them any more.
+# Settings a context only takes at its start: checkpoints go when nothing refers to them any more.
 START_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
@@ -38,26 +38,40 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; where none is named, a folder in the warehouse, which is shared too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_stored"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a local one only for local masters."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder for checkpoints that model fits write."""
     context = spark.sparkContext
-    if folder is None:
-        if context.getCheckpointDir():
-            return context.getCheckpointDir()
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="marketloom-checkpoint-")
     if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+        context.setCheckpointDir(shared_folder(spark))
+    return context.getCheckpointDir()
+
+
+_STORED: list[str] = []
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared checkpoint folder.
+    """The rows, written once as Parquet to the shared folder and read from there.
 
     For intermediate results that several branches of a plan read: a branch then scans the small stored
-    rows instead of recomputing them from the sales, also after an executor is lost.
+    rows, and of those the columns and rows it needs, instead of recomputing them from the sales, also after
+    an executor is lost. ``drop_stored`` removes the files.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STORED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete what ``stored`` wrote; call it when the results built on it have been read."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _STORED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(hadoop).delete(path, True)

@@ -15,9 +15,12 @@ def sample_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SAMPLE_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invoices(spark: SparkSession, sf_dir: str, sold: bool = False, known: bool = False) -> DataFrame:
     """Raw invoice columns. Returned lines get a negative quantity, pending orders have no customer.
 
+    ``sold`` and ``known`` leave out returned lines and lines without customer by conditions on the sample
+    columns, which reach the scans; conditions on the derived columns would not.
+
     No join carries a hint: the planner broadcasts a side only when its size is under the session's
     limit, and sorts or splits skewed keys otherwise.
     """
@@ -28,10 +31,15 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = table("customer").join(
         table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
     ).select("c_custkey", "n_name")
-    orders = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    placed, items = table("orders"), table("lineitem")
+    if sold:
+        flag, size = F.col("l_returnflag"), F.col("l_quantity")
+        items = items.where(((size > 0) & (flag.isNull() | (flag != "R"))) | ((size < 0) & (flag == "R")))
+    if known:
+        placed = placed.where((F.col("o_orderstatus") != "P") & F.col("o_custkey").isNotNull())
+    orders = placed.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     lines = (
-        table("lineitem")
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        items.join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     quantity = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
@@ -65,11 +73,12 @@ class Tables:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return cleaning.valid_sales(self.lines)
+        return cleaning.valid_sales(cleaning.add_line_columns(invoices(self.spark, self.sf_dir, sold=True)))
 
     @cached_property
     def customer_sales(self) -> DataFrame:
-        return cleaning.valid_customer_sales(self.lines)
+        lines = invoices(self.spark, self.sf_dir, sold=True, known=True)
+        return cleaning.valid_customer_sales(cleaning.add_line_columns(lines))
 
     @cached_property
     def events(self) -> DataFrame:

@@ -1,33 +1,30 @@
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
 
-import pytest
+from marketloom.session import RUNTIME_CONF, drop_stored, ensure_checkpoint_dir, prepare, stored
 
-from marketloom.session import RUNTIME_CONF, ensure_checkpoint_dir, prepare, stored
 
-
-def _session(master, folder=None):
-    """A stand-in session that only knows its master and its checkpoint setting."""
+def _session(folder=None):
+    """A stand-in session that only knows its checkpoint setting and its warehouse."""
     state = {"dir": None}
     context = SimpleNamespace(
-        master=master,
         getCheckpointDir=lambda: state["dir"],
         setCheckpointDir=lambda path: state.update(dir=path),
     )
-    conf = SimpleNamespace(get=lambda key, default=None: folder or default)
+    known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "s3a://shared/warehouse"}
+    conf = SimpleNamespace(get=lambda key, default=None: known.get(key) or default)
     return SimpleNamespace(sparkContext=context, conf=conf)
 
 
-def test_cluster_folder_is_used_and_never_replaced_by_a_local_one():
-    assert ensure_checkpoint_dir(_session("yarn", "s3a://shared/checkpoints")) == "s3a://shared/checkpoints"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        ensure_checkpoint_dir(_session("spark://host:7077"))
+def test_the_named_folder_is_used():
+    assert ensure_checkpoint_dir(_session("s3a://shared/checkpoints")) == "s3a://shared/checkpoints"
 
 
-def test_local_master_gets_a_folder_once():
-    session = _session("local[2]")
-    assert ensure_checkpoint_dir(session) == ensure_checkpoint_dir(session)
+def test_without_a_named_folder_the_warehouse_is_used():
+    session = _session()
+    assert ensure_checkpoint_dir(session) == ensure_checkpoint_dir(session) == "s3a://shared/warehouse/_stored"
 
 
 def test_prepare_sets_runtime_settings(spark):
@@ -40,3 +37,11 @@ def test_stored_rows_no_longer_depend_on_their_source(spark):
     kept = stored(spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count())
     assert kept.count() == 7
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_files_can_be_dropped(spark):
+    kept = stored(spark.range(5))
+    folder = kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(folder)
+    drop_stored(spark)
+    assert not os.path.exists(folder)
