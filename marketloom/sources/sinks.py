@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.sources.readers import read_invoices_csv
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
@@ -39,6 +41,24 @@ def write_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> N
     writer.saveAsTable(name)
 
 
+def replace_partitions(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+    """Write the partitions that the rows belong to, and leave the others as they are.
+
+    Doing it again gives the same table, and readers see the table all the time.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        write_table(df, name, partition_by)
+        return
+    rows = df.select(*spark.table(name).columns).hint("rebalance", *partition_by)
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
 def ctas_from_view(df: DataFrame, name: str) -> None:
     """Register a view and create the table from it with SQL."""
     spark = df.sparkSession

@@ -140,3 +140,16 @@ def test_batch_run_writes_every_table(spark, database, tmp_path):
     assert all(n > 0 for n in counts.values()), counts
     assert counts["sales_forecast_detailed"] == 30 and counts["customer_segments"] == 60
     assert set(sinks.list_tables(spark)) == set(counts)
+
+
+def test_loading_again_changes_nothing_and_a_second_file_only_adds(spark, database, tmp_path):
+    first = _write(tmp_path / "a.csv", "1,A,x,6,12/1/2010 8:26,2.50,17850,France", "1,B,y,1,1/2/2011 8:26,1.00,17850,France")
+    second = _write(tmp_path / "b.csv", "2,A,x,2,1/5/2011 9:00,2.50,17851,Spain", "3,A,x,-1,1/5/2011 9:00,2.50,,Spain")
+    for path in (first, first, second, first):
+        batch.load(spark, path)
+    raw = sorted((r["InvoiceNo"], r["StockCode"]) for r in spark.table(batch.RAW).collect())
+    assert raw == [("1", "A"), ("1", "B"), ("2", "A"), ("3", "A")]
+    clean = spark.table(batch.CLEAN)
+    assert sorted((r["InvoiceNo"], r["Year"], r["Month"]) for r in clean.collect()) == [("1", 2010, 12), ("1", 2011, 1), ("2", 2011, 1)]
+    folders = {f.split(batch.CLEAN)[1].rpartition("/")[0] for f in clean.inputFiles()}
+    assert len(folders) == 3
