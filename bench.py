@@ -11,7 +11,7 @@ import os
 import time
 
 from marketloom.plans.catalog import all_queries
-from marketloom.session import build_session
+from marketloom.session import build_session, drop_stored
 
 HEADLINE = [
     "sales_per_country",
@@ -38,6 +38,11 @@ HEADLINE = [
     "frequent_itemsets",
     "customer_segments",
     "churn_rf",
+    "churn_gbt",
+    "als_recommendations",
+    "forecast_per_group",
+    "association_rules",
+    "eval_auc",
     "forecast_lr_lags",
     "forecast_seasonal",
 ]
@@ -53,6 +58,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_CHECKPOINT_DIR", f"/tmp/marketloom-bench-{os.getpid()}"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -67,6 +73,7 @@ def main() -> None:
         start = time.perf_counter()
         run(name)
         seconds[name] = round(time.perf_counter() - start, 3)
+    drop_stored(spark)
     spark.stop()
     print(
         json.dumps(

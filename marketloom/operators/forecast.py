@@ -208,6 +208,17 @@ def _knots() -> list[float]:
     return [CHANGEPOINT_RANGE * (i + 1) / (CHANGEPOINTS + 1) for i in range(CHANGEPOINTS)]
 
 
+def _bend_variance(bends: np.ndarray, ahead):
+    """Variance of the trend some way ahead (in spans of the history), from bends still to come.
+
+    They are expected as often and as strong as those of the history: ``CHANGEPOINTS`` in the first
+    ``CHANGEPOINT_RANGE`` of the span, with two-sided exponential sizes of the same mean. A bend that comes u
+    ahead adds its size times (ahead - u).
+    """
+    rate = CHANGEPOINTS / CHANGEPOINT_RANGE
+    return ahead * ahead * ahead * (rate * 2.0 * float(np.mean(np.abs(bends))) ** 2 / 3.0)
+
+
 def _season_columns(day: Column) -> dict[str, Column]:
     out = {}
     for name, (period, order) in SEASONS.items():
@@ -227,13 +238,14 @@ def _trend_columns(t: Column) -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class SeasonalModel:
-    """Coefficients of the additive model, the span of days it was fitted on and the interval's half."""
+    """Coefficients of the additive model, the span of days it was fitted on, and what the interval needs."""
 
     linear: LinearRegressionModel
     names: list[str]
     first: dt.date
     last: dt.date
-    margin: float
+    width: float
+    noise: float
 
     def _columns(self) -> dict[str, Column]:
         return seasonal_columns(self.first, self.last)
@@ -242,6 +254,14 @@ class SeasonalModel:
         columns = self._columns()
         return _linear(self.linear, [columns[n] for n in self.names])
 
+    def margin(self) -> Column:
+        """Half of the interval: the residuals' spread, and for days ahead also the trend's."""
+        weights = self.linear.coefficients.toArray()
+        bends = np.array([w for n, w in zip(self.names, weights, strict=True) if n.startswith("bend")])
+        days = float(max((self.last - self.first).days, 1))
+        ahead = F.greatest(F.date_diff("Date", F.lit(self.last)) / F.lit(days), F.lit(0.0))
+        return F.sqrt(F.lit(self.noise**2) + _bend_variance(bends, ahead)) * self.width
+
     def trend(self) -> Column:
         columns = self._columns()
         out = F.lit(float(self.linear.intercept))
@@ -270,8 +290,8 @@ def fit_seasonal(daily: DataFrame, ridge: float = 0.01, level: float = 0.95) ->
     names = list(columns)
     data = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
     linear = LinearRegression(labelCol="Revenue", regParam=ridge, elasticNetParam=0.0).fit(data)
-    margin = _width(level) * float(linear.summary.rootMeanSquaredError)
-    return SeasonalModel(linear, names, span["first"], span["last"], margin)
+    noise = float(linear.summary.rootMeanSquaredError)
+    return SeasonalModel(linear, names, span["first"], span["last"], _width(level), noise)
 
 
 def seasonal_rows(model: SeasonalModel, daily: DataFrame, horizon: int = 90) -> DataFrame:
@@ -283,15 +303,15 @@ def seasonal_rows(model: SeasonalModel, daily: DataFrame, horizon: int = 90) ->
         "Date", F.lit(None).cast("double").alias("Revenue"), F.lit("Forecast").alias("Type")
     )
     fitted = past.unionByName(ahead).withColumns(
-        {"Predicted_Revenue": model.yhat(), "Trend": model.trend()}
+        {"Predicted_Revenue": model.yhat(), "Trend": model.trend(), "_margin": model.margin()}
     )
     return fitted.withColumns(
         {
-            "Lower_Bound": F.col("Predicted_Revenue") - model.margin,
-            "Upper_Bound": F.col("Predicted_Revenue") + model.margin,
-            "Confidence_Interval": F.lit(2 * model.margin),
+            "Lower_Bound": F.col("Predicted_Revenue") - F.col("_margin"),
+            "Upper_Bound": F.col("Predicted_Revenue") + F.col("_margin"),
+            "Confidence_Interval": 2 * F.col("_margin"),
         }
-    )
+    ).drop("_margin")
 
 
 def forecast_seasonal(daily: DataFrame, horizon: int = 90, level: float = 0.95) -> DataFrame:
@@ -354,7 +374,9 @@ def forecast_per_group(
             z.T @ z + ridge * len(y) * np.eye(z.shape[1]), z.T @ (y - y.mean())
         )
         residual = y - (y.mean() + z @ weights)
-        margin = width * math.sqrt(float(np.mean(residual**2)))
+        bends = (weights / scale)[1 : 1 + CHANGEPOINTS]
+        reach = (ahead - days[-1]) / max(days[-1] - days[0], 1.0)
+        margin = width * np.sqrt(float(np.mean(residual**2)) + _bend_variance(bends, reach))
         future = y.mean() + ((_design(ahead, days[0], days[-1]) - mean) / scale) @ weights
         return pd.DataFrame(
             {
@@ -363,7 +385,7 @@ def forecast_per_group(
                 "Revenue": future,
                 "Upper_Bound": future + margin,
                 "Lower_Bound": future - margin,
-                "Confidence_Interval": np.full(len(ahead), 2 * margin),
+                "Confidence_Interval": 2 * margin,
             }
         )
 

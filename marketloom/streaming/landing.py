@@ -15,9 +15,15 @@ def bucket_start(ts: Column | str, minutes: int = 10) -> Column:
     return F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(width)))
 
 
-def read_landing(spark: SparkSession, src: str, minutes: int = 10) -> DataFrame:
-    """One row per line of a landed file, with arrival time, rounded time and the file it came from."""
-    lines = spark.readStream.format("text").load(src)
+def read_landing(spark: SparkSession, src: str, minutes: int = 10, max_bytes: int = 0) -> DataFrame:
+    """One row per line of a landed file, with arrival time, rounded time and the file it came from.
+
+    With ``max_bytes`` a batch takes files up to that size (one file at least).
+    """
+    reader = spark.readStream.format("text")
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    lines = reader.load(src)
     arrived = F.current_timestamp()
     return lines.select(
         "value",
@@ -34,17 +40,21 @@ def landing_stream(
     dst: str,
     checkpoint: str,
     minutes: int = 10,
-    max_records: int = 5000,
+    max_records: int = 1_000_000,
+    max_bytes: int = 128 << 20,
     roll: str = "30 minutes",
     once: bool = False,
     as_text: bool = False,
 ) -> StreamingQuery:
-    """Copy every landed file exactly once into files of at most ``max_records`` lines per roll.
+    """Copy every landed file exactly once into files that roll by number of lines, size and time.
+
+    A file holds at most ``max_records`` lines and, as a batch takes no more than ``max_bytes`` of landed files
+    (or one file), about that many bytes; ``roll`` is the time between batches.
 
     ``as_text`` writes the lines alone; otherwise Parquet keeps the arrival columns. Both are partitioned
     by arrival date. ``once`` drains what is there and stops.
     """
-    rows = read_landing(spark, src, minutes)
+    rows = read_landing(spark, src, minutes, max_bytes)
     if as_text:
         rows = rows.select("value", "arrived_date")
     writer = (

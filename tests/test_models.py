@@ -208,6 +208,8 @@ def test_seasonal_model(days):
     assert error < spread / 5
     inside = np.mean([r["Lower_Bound"] <= r["Revenue"] <= r["Upper_Bound"] for r in past])
     assert inside > 0.9
+    widths = [r["Confidence_Interval"] for r in ahead]
+    assert all(a < b for a, b in zip(widths, widths[1:], strict=False)) and widths[0] >= past[-1]["Confidence_Interval"]
 
 
 def test_one_group_equals_the_single_series_model(days):

@@ -116,6 +116,16 @@ def test_text_files_roll_by_record_count(spark, tmp_path):
     assert sorted(len(f.read_text().splitlines()) for f in files) == [5, 10, 10]
 
 
+def test_files_roll_by_size(spark, tmp_path):
+    src, dst, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
+    src.mkdir()
+    for k in range(4):
+        (src / f"{k}.txt").write_text("x" * 99 + "\n")
+    _drain(spark, src, dst, state, max_bytes=200, as_text=True)
+    sizes = [f.stat().st_size for f in dst.glob("arrived_date=*/*.txt")]
+    assert sum(sizes) == 400 and max(sizes) <= 200 and len(sizes) >= 2
+
+
 def test_batch_run_writes_every_table(spark, database, tmp_path):
     rng = random.Random(4)
     lines = []
