@@ -8,9 +8,10 @@ The first digit is chosen by content: of the ``core``-byte strings inside the su
 smallest hash (the leftmost of equals). Equal suffixes have the same one at the same place, and neighbouring
 suffixes share it, so a run of up to ``depth - core + 1`` suffixes is one row of the first passes
 instead of one each. First pass: the core; runs whose core occurs once leave (a bounded Bloom
-filter of the repeated cores keeps them from being shuffled again). Second pass: all bytes of the run; a run that
+filter of the repeated cores keeps them from being shuffled). Second pass: all bytes of the run; a run that
 equals an earlier one is repeated from end to end, and only the first of equal runs goes on, if its core also
-has other surroundings. Last pass: the single suffixes of those runs, through all ``depth`` bytes.
+has other surroundings. Last pass: the single suffixes of those runs, through all ``depth`` bytes. The second and
+the last pass are one shuffle each, sorted within partitions and read once.
 
 Runs and suffixes are compared by 128-bit hashes of their bytes.
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm.bloom import Filter, blocks_for, filter_rows, split_by_ids
-from marketloom.llm.common import gathered, mix64, staged, table, utf8
+from marketloom.llm.common import gathered, mix64, run_starts, staged, table, utf8
 
 DEPTH = 100
 CORE = 64
@@ -120,6 +121,7 @@ def _run_cores(docs: DataFrame, depth: int, core: int) -> DataFrame:
 
 
 RUNS = "core bigint, whole bigint, doc_id bigint, first int, last int"
+MARKS = "doc_id bigint, start int, end int, open boolean"
 
 
 def _repeated_runs(docs: DataFrame, passing: Filter, depth: int, core: int) -> DataFrame:
@@ -145,6 +147,56 @@ def _repeated_runs(docs: DataFrame, passing: Filter, depth: int, core: int) -> D
     return docs.select("doc_id", "data").mapInArrow(step, RUNS)
 
 
+def _told_apart(found: DataFrame, depth: int) -> DataFrame:
+    """Runs by what is known of them: spans that are copies of an earlier run, and runs still open.
+
+    Runs are sorted by core, bytes and place, and read once: behind the first of equal runs come its copies; the
+    first is open where its core has other bytes around it somewhere. No group is held, so a core may have any
+    number of runs.
+    """
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: tuple | None = None  # core and bytes of the row before
+        pending: tuple | None = None  # a core's first run, whose core may still show other bytes
+        for batch in batches:
+            core, whole, doc, first, last = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            # A place met twice, from repeated rows, is one place.
+            fresh = np.ones(len(core), dtype=bool)
+            fresh[1:] = (whole[1:] != whole[:-1]) | (doc[1:] != doc[:-1]) | (first[1:] != first[:-1])
+            fresh[0] = before is None or (whole[0], doc[0], first[0]) != before[1:]
+            core, whole, doc, first, last = (c[fresh] for c in (core, whole, doc, first, last))
+            if not len(core):
+                continue
+            new_core, new_run = run_starts(core), np.ones(len(core), dtype=bool)
+            new_run[1:] = new_core[1:] | (whole[1:] != whole[:-1])
+            if before is not None:
+                new_core[0] = core[0] != before[0]
+                new_run[0] = new_core[0] or whole[0] != before[1]
+            before = core[-1], whole[-1], doc[-1], first[-1]
+            firsts = np.flatnonzero(new_run)
+            alone = new_core[firsts]
+            follows = np.append(alone[1:], True)  # whether the next first run begins another core
+            still_open = firsts[~alone | ~follows]
+            out = [(doc[~new_run], first[~new_run], last[~new_run] + depth, False)]
+            if len(firsts):
+                if pending is not None and not alone[0]:
+                    out.append((*(np.array([x]) for x in pending), True))
+                pending = None
+                if alone[-1]:
+                    k = firsts[-1]
+                    pending = doc[k], first[k], last[k]
+            out.append((doc[still_open], first[still_open], last[still_open], True))
+            for ids, start, end, flag in out:
+                if len(ids):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(np.full(len(ids), flag))],
+                        names=["doc_id", "start", "end", "open"],
+                    )
+
+    ordered = found.repartition("core").sortWithinPartitions("core", "whole", "doc_id", "first")
+    return ordered.mapInArrow(step, MARKS)
+
+
 def _single_suffixes(docs: DataFrame, depth: int) -> DataFrame:
     """All suffixes of the open runs (column ``open``: first and last starts): two hashes, doc_id and start."""
 
@@ -152,7 +204,8 @@ def _single_suffixes(docs: DataFrame, depth: int) -> DataFrame:
         for batch in batches:
             for doc_id, data, open_runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = Hashes(data)
-                starts = np.concatenate([np.arange(r["first"], r["last"] + 1) for r in open_runs])
+                starts = np.concatenate([np.arange(r["start"], r["end"] + 1) for r in open_runs])
+                starts = starts[starts + depth <= len(data)]
                 yield pa.RecordBatch.from_arrays(
                     [_signed(hashes.of(starts, starts + depth, 0)), _signed(hashes.of(starts, starts + depth, 1)),
                      pa.array(np.full(len(starts), doc_id), pa.int64()), pa.array(starts, pa.int32())],
@@ -162,6 +215,31 @@ def _single_suffixes(docs: DataFrame, depth: int) -> DataFrame:
     return docs.select("doc_id", "data", "open").mapInArrow(step, "one bigint, two bigint, doc_id bigint, start int")
 
 
+def _later_suffixes(suffixes: DataFrame, depth: int) -> DataFrame:
+    """Spans of all but the first of equal suffixes, from one pass over them in order."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: tuple | None = None
+        for batch in batches:
+            one, two, doc, start = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            same = np.zeros(len(one), dtype=bool)
+            same[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
+            same[0] = before is not None and (one[0], two[0]) == before[:2]
+            # A place met twice is one place.
+            again = np.zeros(len(one), dtype=bool)
+            again[1:] = same[1:] & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])
+            again[0] = same[0] and (doc[0], start[0]) == before[2:]
+            before = one[-1], two[-1], doc[-1], start[-1]
+            keep = same & ~again
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[keep], pa.int64()), pa.array(start[keep], pa.int32()), pa.array(start[keep] + depth, pa.int32())],
+                names=["doc_id", "start", "end"],
+            )
+
+    ordered = suffixes.repartition("one").sortWithinPartitions("one", "two", "doc_id", "start")
+    return ordered.mapInArrow(step, "doc_id bigint, start int, end int")
+
+
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, core: int = CORE) -> DataFrame:
     """doc_id, start and end (bytes, end exclusive) of stretches covered by strings that start earlier too.
 
@@ -172,30 +250,13 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, core: int = CORE) -> Dat
     cores = staged(cores, "cores")
     blocks = blocks_for(cores.count())
     passing = Filter(filter_rows(cores, "core", blocks), blocks)
-    found = staged(_repeated_runs(docs, passing, depth, core), "runs")
-
-    order = F.struct("doc_id", "first", "last")
-    equal = found.groupBy("core", "whole").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n"))
-    equal = staged(equal.select("core", "whole", F.col("least.doc_id").alias("d"), F.col("least.first").alias("f"), F.col("least.last").alias("l"), "n"), "equal_runs")
-    copied = (
-        found.join(equal.where("n > 1").select(F.col("core").alias("c"), F.col("whole").alias("w"), "d", "f"), (F.col("core") == F.col("c")) & (F.col("whole") == F.col("w")))
-        .where("doc_id <> d OR first <> f")
-        .select("doc_id", F.col("first").alias("start"), (F.col("last") + depth).alias("end"))
-    )
-    # The first of equal runs is still open where its core has other surroundings.
-    shared = equal.groupBy("core").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("core").alias("c"))
-    first = staged(equal.join(shared, F.col("core") == F.col("c"), "left_semi").select(F.col("d").alias("doc_id"), F.col("f").alias("first"), F.col("l").alias("last")), "open_runs")
-    per_doc = staged(first.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("open")), "open_by_doc")
-    likely, _ = split_by_ids(docs.select("doc_id", "data"), per_doc.select("doc_id"), per_doc.count())
-    suffixes = staged(_single_suffixes(likely.join(per_doc, "doc_id"), depth), "suffixes")
-    least = suffixes.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count(F.lit(1)).alias("n"))
-    least = staged(least.where("n > 1").select(F.col("one").alias("a"), F.col("two").alias("b"), F.col("least.doc_id").alias("d"), F.col("least.start").alias("s")), "least_suffixes")
-    again = (
-        suffixes.join(least, (F.col("one") == F.col("a")) & (F.col("two") == F.col("b")))
-        .where("doc_id <> d OR start <> s")
-        .select("doc_id", "start", (F.col("start") + depth).alias("end"))
-    )
-    return copied.unionByName(again)
+    found = _repeated_runs(docs, passing, depth, core)
+    marks = staged(_told_apart(found, depth), "marks")
+    open_runs = marks.where("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("open"))
+    open_runs = staged(open_runs, "open_runs")
+    likely, _ = split_by_ids(docs.select("doc_id", "data"), open_runs.select("doc_id"), open_runs.count())
+    suffixes = _single_suffixes(likely.join(open_runs, "doc_id"), depth)
+    return marks.where("NOT open").select("doc_id", "start", "end").unionByName(_later_suffixes(suffixes, depth))
 
 
 # ------------------------------------------------------------------ the operator
