@@ -34,7 +34,7 @@ def add(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None)
 
 def all_queries() -> dict[str, Query]:
     # Importing the modules fills the catalogue.
-    from marketloom.plans import basics, customers, forecasts, models, products, sales  # noqa: F401
+    from marketloom.plans import basics, customers, forecasts, models, products, sales, scored  # noqa: F401
 
     return dict(_QUERIES)
 
@@ -161,6 +161,30 @@ CTES = {
               FROM invoice_features GROUP BY CustomerID)
         JOIN (SELECT CustomerID, COUNT(DISTINCT StockCode) AS products FROM history GROUP BY CustomerID)
           USING (CustomerID), split_cut""",
+    "recency_risk": """
+        SELECT CustomerID, Recency, Churned, ChurnRisk,
+               CASE WHEN ChurnRisk <= 0.3 THEN 'Low' WHEN ChurnRisk <= 0.6 THEN 'Medium' ELSE 'High' END
+                 AS ChurnRiskLevel,
+               CASE WHEN ChurnRisk >= 0.25 THEN 1 ELSE 0 END AS Guess
+        FROM (SELECT *, LEAST(CAST(Recency AS DOUBLE) / 365, CAST(1 AS DOUBLE)) AS ChurnRisk FROM churn_features)""",
+    "order_groups": """
+        SELECT *, CAST(LEAST(TotalOrders, 4) - 1 AS INTEGER) AS Cluster
+        FROM (SELECT CustomerID, SUM(TotalAmount) AS TotalSpending, COUNT(DISTINCT InvoiceNo) AS TotalOrders,
+                     CAST(SUM(Quantity) AS BIGINT) AS TotalItems,
+                     CAST(SUM(TotalAmount) AS DOUBLE) / COUNT(DISTINCT InvoiceNo) AS AvgOrderValue
+              FROM cust_sales GROUP BY CustomerID)""",
+    "order_centers": """
+        SELECT Cluster, CAST(SUM(TotalSpending) AS DOUBLE) / COUNT(*) AS ClusterSpending,
+               CAST(SUM(TotalOrders) AS DOUBLE) / COUNT(*) AS ClusterOrders, COUNT(*) AS Customers
+        FROM order_groups GROUP BY Cluster""",
+    "order_medians": """
+        SELECT median(CAST(TotalSpending AS DOUBLE)) AS mid_spending, median(CAST(TotalOrders AS DOUBLE)) AS mid_orders
+        FROM order_groups""",
+    "order_segments": """
+        SELECT g.*, CASE WHEN ClusterSpending > mid_spending * 2 AND ClusterOrders > mid_orders THEN 'High Value Frequent'
+                         WHEN ClusterSpending > mid_spending * 2 THEN 'High Value Occasional'
+                         WHEN ClusterOrders > mid_orders THEN 'Regular Shoppers' ELSE 'Low Engagement' END AS Segment
+        FROM order_groups g JOIN order_centers c USING (Cluster), order_medians""",
     "stats": """
         SELECT CAST(SUM(Quantity) AS DOUBLE) / COUNT(Quantity) AS mean_qty,
                stddev_samp(CAST(Quantity AS DOUBLE)) AS std_qty,
