@@ -33,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_near_duplicates": near_dups.OP3_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
 }

@@ -35,18 +35,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_staged"
 
 
-def staged(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+def staged(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
     """The rows, written once as Parquet to the shared folder and read from there.
 
-    Cuts the lineage, so a lost executor costs one read, and keeps column pruning and pushed filters.
+    Cuts the lineage, so a lost executor costs one read, and keeps column pruning and pushed filters. With
+    ``files``, the last stage has no more tasks than that: for results known to be small.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{uuid.uuid4().hex}/{label}"
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    (df if files is None else df.coalesce(max(1, files))).write.parquet(path)
     _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(spark: SparkSession) -> int:
+    """Some tasks for each core: enough for rows that are small beside the texts."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what ``staged`` wrote; results that are still lazy must have been read before."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()

@@ -6,10 +6,11 @@ with the bucket's hub, a member chosen by hash, so that a class meets as many di
 and no bucket is expanded into pairs. Buckets that still hold several components are then compared
 in blocks inside tasks, only across components, and emit nothing but survivors; so no link is lost.
 
-Verification of a candidate pair is sequential: batches of signature positions (one byte each, from hash
-functions the bands don't use) are compared, and after each batch the pair is dropped when the
-posterior probability that its similarity reaches the threshold, under a uniform prior, is below the chosen
-miss probability. Survivors are verified exactly on the full sets.
+Verification of a candidate pair is sequential. A signature has one byte for each of ``BINS`` ranges of the
+shingles' hashes: of the smallest hash there, or 0. Batches of bins are compared, and after each batch the pair is
+dropped when the posterior probability that its similarity reaches the threshold is below the chosen miss
+probability. The posterior comes from a uniform prior and the matches so far; its spread is that of a sample
+drawn without replacement, as bins share no shingle. Survivors are verified exactly on the full sets.
 
 Bands of 5 out of 160 hashes, 32 of them: a pair at similarity 0.8 shares none with probability 3e-6.
 
@@ -22,6 +23,7 @@ kept document, the smallest id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +31,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import mix64, staged, table, utf8, words_of
+from marketloom.llm.bloom import split_by_ids
+from marketloom.llm.common import few, mix64, run_starts, staged, table, utf8, words_of
 from marketloom.llm.graph import components
 
 BANDS, ROWS = 32, 5
-SIGNATURE = 128
-BATCH = 32
+BINS = 512
+BATCH = 64
 MISS = 1e-6
 #: Members of a bucket that a task compares with one another at once.
 BLOCK = 1024
 
-_SEEDS = mix64(np.arange(1, BANDS * ROWS + SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _XOR = (_SEEDS & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 _TIMES = ((_SEEDS >> np.uint64(32)).astype(np.uint32)) | np.uint32(1)
 
@@ -75,122 +78,145 @@ def minima(values: np.ndarray) -> np.ndarray:
 
 
 def sketch(values: np.ndarray) -> tuple[list[int], bytes]:
-    """Bucket keys of the bands, and the signature."""
-    low = minima(values)
-    banded = low[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
+    """Bucket keys of the bands, and the signature of the sorted hashes."""
+    banded = minima(values).reshape(BANDS, ROWS).astype(np.uint64)
     keys = np.arange(BANDS, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for k in range(ROWS):
             keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + banded[:, k])
-    signed = (low[BANDS * ROWS :] >> np.uint32(24)) ^ (low[BANDS * ROWS :] & np.uint32(0xFF))
-    return keys.view(np.int64).tolist(), signed.astype(np.uint8).tobytes()
+    bins = (values >> np.uint64(64 - (BINS - 1).bit_length())).astype(np.int64)
+    first = np.flatnonzero(run_starts(bins))
+    signature = np.zeros(BINS, dtype=np.uint8)
+    signature[bins[first]] = np.maximum((values[first] >> np.uint64(40)) & np.uint64(0xFF), 1)
+    return keys.view(np.int64).tolist(), signature.tobytes()
 
 
 # ------------------------------------------------------------------ sequential Bayesian pruning
 
 
-def least_matches(threshold: float, miss: float = MISS, batch: int = BATCH, length: int = SIGNATURE) -> list[int]:
-    """For each number of compared positions, the matches below which the pair is dropped.
+def survives(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, threshold: float, miss: float = MISS) -> np.ndarray:
+    """Rows of two signature matrices that no batch rules out; ``sizes`` has the shingles of both sets together.
 
-    Positions agree with probability s + (1 - s) / 256 at similarity s; the prior of s is uniform.
+    After n bins with a shingle of either set and m matches, the posterior of the share of matches under a
+    uniform prior has mean (m + 1) / (n + 2); its spread shrinks with the share of the union that has been seen, by
+    a tenth of it at least. Different shingles match by chance once in 255.
     """
-    grid = (np.arange(2000) + 0.5) / 2000
-    agree = np.log(grid + (1 - grid) / 256)
-    differ = np.log1p(-np.minimum(grid + (1 - grid) / 256, 1 - 1e-12))
-    bounds = []
-    for n in range(batch, length + 1, batch):
-        for m in range(n + 1):
-            weight = m * agree + (n - m) * differ
-            weight = np.exp(weight - weight.max())
-            if weight[grid >= threshold].sum() / weight.sum() >= miss:
-                bounds.append(m)
-                break
-    return bounds
-
-
-def survives(left: np.ndarray, right: np.ndarray, bounds: list[int]) -> np.ndarray:
-    """Rows of two signature matrices that no batch rules out."""
+    level = threshold + (1 - threshold) / 255
+    reach = NormalDist().inv_cdf(1 - miss)
+    union = sizes / (1 + threshold)
     alive = np.arange(len(left))
-    matches = np.zeros(len(left), dtype=np.int64)
-    for k, bound in enumerate(bounds):
-        part = slice(k * BATCH, (k + 1) * BATCH)
-        matches[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
-        alive = alive[matches[alive] >= bound]
+    seen = np.zeros(len(left))
+    matches = np.zeros(len(left))
+    for start in range(0, BINS, BATCH):
+        one, other = left[alive, start : start + BATCH], right[alive, start : start + BATCH]
+        seen[alive] += ((one | other) != 0).sum(axis=1)
+        matches[alive] += ((one == other) & (one != 0)).sum(axis=1)
+        n = seen[alive]
+        mean = (matches[alive] + 1) / (n + 2)
+        rest = np.maximum(1 - n / np.maximum(union[alive], 1), 0.1)
+        spread = np.sqrt(mean * (1 - mean) / (n + 3) * rest)
+        alive = alive[mean + reach * spread >= level]
     return alive
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SIGNATURE)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, BINS)
 
 
-def _pruned(pairs: DataFrame, signatures: DataFrame, bounds: list[int]) -> DataFrame:
+def _pruned(pairs: DataFrame, signatures: DataFrame, threshold: float) -> DataFrame:
     """Candidate pairs (a, b) that the signatures don't rule out."""
-    left = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("left"))
-    right = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("right"))
+    left = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("left"), F.col("n_shingles").alias("n"))
+    right = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("right"), F.col("n_shingles").alias("k"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alive = survives(_matrix(batch.column(2)), _matrix(batch.column(3)), bounds)
+            sizes = batch.column(4).to_numpy(zero_copy_only=False)
+            alive = survives(_matrix(batch.column(2)), _matrix(batch.column(3)), sizes, threshold)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(alive)) for c in batch.columns[:2]], names=["a", "b"])
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right", F.col("n") + F.col("k"))
     return joined.mapInArrow(step, "a bigint, b bigint")
 
 
-def _in_blocks(crowded: DataFrame, bounds: list[int]) -> DataFrame:
+def _in_blocks(crowded: DataFrame, threshold: float) -> DataFrame:
     """Pairs across components inside crowded buckets that the signatures don't rule out.
 
     Rows: group (bucket and pair of blocks), side (0 or 1; equal for a block with itself), rep, component,
-    signature. A group has two blocks at most and is compared inside one task.
+    signature, n_shingles, keys. A group has two blocks at most and is compared inside one task. A pair that
+    shares several buckets is looked at in the first of them only.
     """
 
-    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    def compare(key: int, rows: list[tuple]) -> Iterator[tuple[int, int]]:
         left = [r for r in rows if r[0] == 0]
         right = [r for r in rows if r[0] == 1] or left
+        if not left:
+            return
         own = right is left
-        signatures = np.frombuffer(b"".join(r[3] for r in right), dtype=np.uint8).reshape(-1, SIGNATURE)
+        signatures = np.frombuffer(b"".join(r[3] for r in right), dtype=np.uint8).reshape(-1, BINS)
         parts = np.array([r[2] for r in right], dtype=np.int64)
-        for i, (_, rep, component, signature) in enumerate(left):
+        sizes = np.array([r[4] for r in right], dtype=np.int64)
+        keys = np.stack([r[5] for r in right])
+        for i, (_, rep, component, signature, size, mine) in enumerate(left):
             others = np.flatnonzero(parts != component)
             others = others[others > i] if own else others
-            mine = np.broadcast_to(np.frombuffer(signature, dtype=np.uint8), (len(others), SIGNATURE))
-            for k in others[survives(mine, signatures[others], bounds)]:
+            # Sets whose sizes differ too much can't reach the threshold.
+            fits = np.minimum(sizes[others], size) >= threshold * np.maximum(sizes[others], size) - 1e-9
+            others = others[fits]
+            shared = keys[others] == mine
+            others = others[mine[shared.argmax(axis=1)] == key]
+            repeated = np.broadcast_to(np.frombuffer(signature, dtype=np.uint8), (len(others), BINS))
+            for k in others[survives(repeated, signatures[others], sizes[others] + size, threshold)]:
                 yield min(rep, right[k][1]), max(rep, right[k][1])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        group, held = None, []
+
+        def done() -> list[tuple[int, int]]:
+            return list(compare(int(group.partition(":")[0]), held)) if held else []
+
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for group, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group != key:
-                    found += compare(held)
-                    key, held = group, []
-                held.append(tuple(row))
+            keys = batch.column(6).flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+            columns = (c.to_pylist() for c in batch.columns[:6])
+            for k, (mine, *row) in enumerate(zip(*columns, strict=True)):
+                if mine != group:
+                    found += done()
+                    group, held = mine, []
+                held.append((*row, keys[k]))
             yield _pairs(found)
-        yield _pairs(list(compare(held)))
+        yield _pairs(done())
 
     def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"]
         )
 
-    ordered = crowded.select("group", "side", "rep", "component", "signature").repartition("group")
+    ordered = crowded.select("group", "side", "rep", "component", "signature", "n_shingles", "keys").repartition("group")
     return ordered.sortWithinPartitions("group", "side", "rep").mapInArrow(step, "a bigint, b bigint").distinct()
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full sets reach the similarity."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = staged(docs.join(ends, "doc_id", "left_semi").select("doc_id", "data"), "texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("data").alias("left"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("data").alias("right"))
+    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends", few(pairs.sparkSession))
+    likely, _ = split_by_ids(docs, ends, ends.count())
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(data, size).tobytes() for data in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "shingles"])
+
+    needed = likely.join(ends, "doc_id", "left_semi").select("doc_id", "data")
+    needed = staged(needed.mapInArrow(sets, "doc_id bigint, shingles binary"), "sets")
+    left = needed.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
+    right = needed.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                one, other = shingles(x, size), shingles(y, size)
-                shared = len(np.intersect1d(one, other, assume_unique=True))
+                one, other = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                both = np.sort(np.concatenate([one, other]))
+                shared = int((both[1:] == both[:-1]).sum())
                 if shared and 100 * shared >= percent * (len(one) + len(other) - shared):
                     good.append(i)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(good, pa.int64())) for c in batch.columns[:2]], names=["a", "b"])
@@ -206,7 +232,7 @@ def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept, a row for each row of ``docs``."""
-    bounds = least_matches(percent / 100)
+    threshold, tasks = percent / 100, few(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("data"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,10 +259,11 @@ def near_duplicates(
     schema = "doc_id bigint, n_shingles bigint, digest binary, keys array<bigint>, signature binary"
     sketches = staged(source.mapInArrow(step, schema), "sketches")
     named = sketches.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes", tasks)
     firsts = named.join(classes.withColumnRenamed("digest", "_digest"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("_digest")))
-    firsts = staged(firsts.dropDuplicates(["digest"]).select("rep", "keys", "signature"), "firsts")
-    signatures = firsts.select("rep", "signature").dropDuplicates(["rep"])
+    firsts = firsts.dropDuplicates(["digest"]).select("rep", "keys", "signature", "n_shingles")
+    firsts = staged(firsts, "firsts", tasks)
+    signatures = firsts.select("rep", "signature", "n_shingles", "keys").dropDuplicates(["rep"])
 
     banded = firsts.select("rep", F.explode("keys").alias("key"))
     hubs = (
@@ -245,16 +272,16 @@ def near_duplicates(
         .where("n > 1")
         .select("key", "n", F.col("hub.rep").alias("hub"))
     )
-    hubs = staged(hubs, "hubs")
+    hubs = staged(hubs, "hubs", tasks)
     # Only rows in buckets of two or more go on; a class with several texts can meet itself.
-    crowded = staged(banded.join(hubs, "key").select("key", "n", "rep", "hub"), "crowded")
+    crowded = staged(banded.join(hubs, "key").select("key", "n", "rep", "hub"), "crowded", tasks)
     stars = crowded.where("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-    survivors = staged(_pruned(stars.distinct(), signatures, bounds), "star_survivors")
-    links = staged(_confirmed(survivors, source, words, percent), "star_links")
+    survivors = staged(_pruned(stars.distinct(), signatures, threshold), "star_survivors", tasks)
+    links = staged(_confirmed(survivors, source, words, percent), "star_links", tasks)
 
     rest = _rest(crowded.where("n > 2").select("key", "rep"), components(links), signatures)
-    survivors = staged(_in_blocks(rest, bounds), "block_survivors")
-    more = staged(_confirmed(survivors, source, words, percent), "block_links")
+    survivors = staged(_in_blocks(rest, threshold), "block_survivors", tasks)
+    more = staged(_confirmed(survivors, source, words, percent), "block_links", tasks)
     # Rows that share an id are one document, whatever their texts are.
     same = named.join(classes, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     twice = same.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("c")).where("b <> c")
@@ -283,7 +310,7 @@ def _rest(crowded: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataF
     labelled = crowded.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
-    sizes = staged(labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size")), "bucket_parts")
+    sizes = staged(labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size")), "bucket_parts", few(crowded.sparkSession))
     buckets = (
         sizes.groupBy("key")
         .agg(
@@ -299,12 +326,12 @@ def _rest(crowded: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataF
             F.ceil(F.col("major.size") / BLOCK).cast("int").alias("major_blocks"),
         )
     )
-    buckets = staged(buckets, "buckets")
+    buckets = staged(buckets, "buckets", few(crowded.sparkSession))
     dealt = labelled.join(buckets, "key").join(signatures, "rep")
     h = F.xxhash64("rep")
     minor = dealt.where("component <> major").withColumn("block", F.pmod(h, F.col("minor_blocks")).cast("int"))
     major = dealt.where("component = major").withColumn("block", F.pmod(h, F.col("major_blocks")).cast("int"))
-    cells = ["rep", "component", "signature"]
+    cells = ["rep", "component", "signature", "n_shingles", "keys"]
     every_minor = F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1))
     every_major = F.explode(F.sequence(F.lit(0), F.col("major_blocks") - 1))
     small, large = F.least("block", "other"), F.greatest("block", "other")
@@ -330,3 +357,37 @@ def _rest(crowded: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataF
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, words=4, percent=80)
+
+
+#: All pairs that share a shingle, and the links followed from every document.
+OP3_SQL = r"""
+WITH RECURSIVE
+words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+                        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM words),
+sizes AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+classes AS (SELECT list_sort(s) AS s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY 1),
+cells AS (SELECT rep, unnest(s) AS shingle FROM classes),
+pairs AS (
+    SELECT a.rep AS a, b.rep AS b, count(*) AS shared
+    FROM cells a JOIN cells b ON a.shingle = b.shingle AND a.rep < b.rep GROUP BY 1, 2),
+links AS (
+    SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT rep AS node, rep AS seen FROM classes
+    UNION
+    SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.seen),
+labels AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
+       coalesce(component, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN classes ON list_sort(sets.s) = classes.s LEFT JOIN labels ON labels.node = classes.rep
+"""

@@ -76,6 +76,7 @@ def test_blocks_find_what_stars_miss(spark, make_docs, monkeypatch):
     monkeypatch.setattr(near_dups, "_confirmed", no_star_links)
     want = brute(rows, 5, 80)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dups.near_duplicates(make_docs(rows)).collect()}
+    # Pairs alone in a bucket are the stars' alone.
     large = {i for i, (_, c) in want.items() if sum(x[1] == c for x in want.values()) > 2}
     assert {i: got[i] for i in large} == {i: want[i] for i in large}
 
@@ -84,14 +85,22 @@ def test_empty_table(spark, make_docs):
     assert near_dups.near_duplicates(make_docs([])).count() == 0
 
 
-def test_bounds_keep_similar_pairs():
-    bounds = near_dups.least_matches(0.8)
-    rng = np.random.default_rng(1)
-    left = rng.integers(0, 256, (4000, near_dups.SIGNATURE), dtype=np.uint8)
-    other = rng.integers(0, 256, left.shape, dtype=np.uint8)
-    for similarity, least, most in ((0.8, 3996, 4000), (0.95, 4000, 4000), (0.3, 0, 4)):
-        right = np.where(rng.random(left.shape) < similarity, left, other)
-        assert least <= len(near_dups.survives(left, right, bounds)) <= most
+@pytest.mark.parametrize("size", [30, 150, 600, 4000])
+def test_pruning_keeps_similar_pairs(size):
+    rng = np.random.default_rng(size)
+    left, right, sizes, similar = [], [], [], []
+    for k in range(400):
+        shared = int(size * (0.5 + 0.5 * rng.random()))
+        own = rng.integers(0, 1 << 63, 2 * size, dtype=np.uint64) * np.uint64(2) + np.uint64(k % 2)
+        one, other = np.unique(own[:size]), np.unique(np.concatenate([own[:shared], own[size : 2 * size - shared]]))
+        left.append(near_dups.sketch(one)[1])
+        right.append(near_dups.sketch(other)[1])
+        sizes.append(len(one) + len(other))
+        similar.append(shared / (2 * size - shared))
+    matrix = [np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, near_dups.BINS) for x in (left, right)]
+    alive = set(near_dups.survives(*matrix, np.array(sizes), 0.8).tolist())
+    assert {k for k, s in enumerate(similar) if s >= 0.8} <= alive
+    assert not any(similar[k] < 0.6 for k in alive) or size < 100
 
 
 def test_components(spark):
