@@ -8,8 +8,8 @@ in logarithmic time. Bins with the same history are placed as one group, so the
 placing piece after piece gives.
 
 Pieces then learn their place without meeting in one task: each has a rank among the pieces of its
-length (its rank within a hash shard plus the sizes of the shards before), and the plan maps length and rank
-to sequence and offset.
+length (its number within the task that cut it plus the counts of the tasks before), and the plan maps length and
+rank to sequence and offset. Cut pieces are stored first, so their numbers can't change when a task runs again.
 
 Defined cases: null text is empty and gives one piece that holds the closing id only; texts longer than
 the capacity are cut into full pieces, the first being the shorter one; equal pieces get different
@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,7 +34,6 @@ from marketloom.llm.common import staged, table
 
 CAPACITY = 1024
 END_ID = 2
-SHARDS = 1024
 
 _NOT_LATIN = re.compile("[^\n -~\xa1-\u024f]")
 
@@ -191,20 +191,24 @@ def worker_tokenizer(path: str, ranks_path: str | None = None) -> TextTokenizer:
     return _TOKENIZERS[path, ranks_path]
 
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, shard int, nth bigint"
 
 
 def cut_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, text: str = "text", ranks_path: str | None = None
 ) -> DataFrame:
-    """Pieces of at most ``capacity`` ids: doc_id, piece, start, length and ids (bytes of unsigned 32-bit)."""
+    """Pieces of at most ``capacity`` ids: doc_id, piece, start, length and ids (bytes of unsigned 32-bit).
+
+    ``shard`` is the number of the task and ``nth`` counts the pieces of each length in it.
+    """
     source = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = worker_tokenizer(tokenizer_path, ranks_path)
         end = np.array([END_ID], dtype="<u4").tobytes()
+        shard, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
-            doc, piece, start, length, ids = [], [], [], [], []
+            doc, piece, start, length, ids, nth = [], [], [], [], [], []
             texts = batch.column(1).to_pylist()
             for doc_id, data in zip(batch.column(0).to_pylist(), tokenizer.ids(texts), strict=True):
                 data += end
@@ -217,16 +221,19 @@ def cut_pieces(
                     start.append(a)
                     length.append(b - a)
                     ids.append(data[4 * a : 4 * b])
+                    nth.append(seen[b - a])
+                    seen[b - a] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "piece", "start", "length", "ids"],
+                 pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array([shard] * len(doc), pa.int32()),
+                 pa.array(nth, pa.int64())],
+                names=["doc_id", "piece", "start", "length", "ids", "shard", "nth"],
             )
 
     return source.mapInArrow(step, PIECES)
 
 
-def assign(pieces: DataFrame, capacity: int = CAPACITY, shards: int = SHARDS) -> DataFrame:
+def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; needs columns ``length`` and ``shard`` and ``nth``.
 
     ``shard`` and ``nth`` number the pieces of one length: ``nth`` counts from 0 within shard and length.
@@ -255,13 +262,6 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, shards: int = SHARDS) ->
     return ranked.select(*names, "rank").mapInArrow(step, f"{kinds}, sequence_id bigint, offset bigint")
 
 
-def numbered(pieces: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``shard`` and ``nth`` for pieces: a rank within hash shard and length, so a common length is split."""
-    key = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("int")
-    inside = W.partitionBy("shard", "length").orderBy("doc_id", "piece")
-    return pieces.withColumn("shard", key).withColumn("nth", (F.row_number().over(inside) - 1).cast("bigint"))
-
-
 def default_tokenizer() -> tuple[str, str]:
     """A public vocabulary: the tokenizer's file and the same as merge ranks."""
     import public_tokenizers
@@ -283,10 +283,10 @@ def pack(
     path, ranks = (tokenizer_path, None) if tokenizer_path else default_tokenizer()
     pieces = staged(cut_pieces(docs, path, capacity, ranks_path=ranks), "pieces")
     extra = {"ids": F.col("ids")} if columns is None else columns
-    narrow = pieces.select("doc_id", "piece", "start", "length", *[c.alias(n) for n, c in extra.items()])
-    # Ranks are taken once and kept, so that equal pieces can't swap when a task runs again.
-    ranked = staged(numbered(narrow), "ranked")
-    return assign(ranked, capacity)
+    chosen = pieces.select(
+        "doc_id", "piece", "start", "length", *[c.alias(n) for n, c in extra.items()], "shard", "nth"
+    )
+    return assign(chosen, capacity)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
