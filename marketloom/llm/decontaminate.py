@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm.bloom import split_by_ids
-from marketloom.llm.common import mix64, ready, staged, table, utf8
+from marketloom.llm.common import mix64, ready, run_starts, staged, table, utf8
 
 Q = 10
 WINDOW = 96
@@ -119,14 +119,17 @@ class Index:
             if not total:
                 continue
             entry = np.repeat(low - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(total)
-            window = self.window[entry]
-            diagonal = np.repeat(at + start, sizes) - self.place[entry]
+            window, place = self.window[entry], self.place[entry]
+            diagonal = np.repeat(at + start, sizes) - place
             step = self.windows[window, 3] + 1
             band = diagonal // step
             # Each diagonal lies in two bands of twice the step, so every run of budget + 1 diagonals lies in one.
-            found = np.concatenate([window, window]), np.concatenate([band, band - 1])
-            order = np.lexsort((found[1], found[0]))
-            window, band = found[0][order], found[1][order]
+            window, band, place = (np.concatenate(c) for c in ((window, window), (band, band - 1), (place, place)))
+            order = np.lexsort((place, band, window))
+            window, band, place = window[order], band[order], place[order]
+            # A q-gram of the window counts once, however often the document has it there.
+            once = run_starts(window) | run_starts(band) | run_starts(place)
+            window, band = window[once], band[once]
             edges = np.flatnonzero(np.concatenate([[True], (window[1:] != window[:-1]) | (band[1:] != band[:-1])]))
             counts = np.diff(np.concatenate([edges, [len(window)]]))
             shape = self.windows[window[edges]]
@@ -142,11 +145,19 @@ class Index:
         if len(text) < Q:
             return []
         found: dict[int, list[tuple[int, int, int, int, int]]] = {}
+        whole = text.tobytes()
+        known: set[tuple[int, int]] = set()
         for w, low in self.candidates(text):
             number, start, length, most = self.windows[w].tolist()
-            aligned = align(self.items[number][1][start : start + length], text, start + low, 2 * (most + 1), most)
+            pattern, first = self.items[number][1][start : start + length], start + low
+            # The two bands a match lies in overlap; an exact match needs no alignment.
+            if any((w, first + d) in known for d in range(-most, 3 * most + 3)):
+                continue
+            exact = whole.find(pattern.tobytes(), max(first, 0), max(first, 0) + 2 * (most + 1) + length)
+            aligned = (exact, exact + length, 0) if exact >= 0 else align(pattern, text, first, 2 * (most + 1), most)
             if aligned:
                 a, b, edits = aligned
+                known.add((w, a))
                 found.setdefault(number, []).append((a, b, start, start + length, edits))
         out = []
         for number, parts in sorted(found.items()):
@@ -171,30 +182,38 @@ def align(pattern: np.ndarray, text: np.ndarray, first: int, diagonals: int, mos
     width = diagonals + 2 * most + 1
     reach = np.arange(width)
     huge = 1 << 20
+    # The text under the band; places outside the text hold a byte that no text has.
+    under = np.full(m + width, 255, dtype=np.uint8)
+    inner = text[max(begin, 0) : max(begin + m + width, 0)]
+    under[max(-begin, 0) : max(-begin, 0) + len(inner)] = inner
+    at_edge = begin < 0 or begin + m + width > len(text)
     # Row r holds the cells (r characters of the pattern, begin + r + c of the text); free start in the text.
     places = begin + reach
     inside = (places >= 0) & (places <= len(text))
     row = np.where(inside, 0, huge)
     source = np.where(inside, places, -1)
+    up, up_source = np.full(width, huge), np.full(width, -1)
     for r in range(1, m + 1):
-        places = begin + r + reach
-        before = places - 1
-        ok = (before >= 0) & (before < len(text))
-        diagonal = np.where(ok, row + (text[np.clip(before, 0, len(text) - 1)] != pattern[r - 1]), huge)
-        up = np.append(row[1:] + 1, huge)
+        diagonal = row + (under[r - 1 : r - 1 + width] != pattern[r - 1])
+        up[:-1] = row[1:]
+        up[:-1] += 1
+        up_source[:-1] = source[1:]
         take_up = up < diagonal
         new = np.where(take_up, up, diagonal)
-        origin = np.where(take_up, np.append(source[1:], -1), source)
+        source = np.where(take_up, up_source, source)
         # Insertions: the smallest of what lies to the left plus the distance.
-        slid = np.minimum.accumulate(new - reach)
-        better = slid + reach < new
+        level = new - reach
+        slid = np.minimum.accumulate(level)
+        better = slid < level
         if better.any():
             # The first place where the running minimum was reached holds the origin.
-            holder = np.maximum.accumulate(np.where(new - reach == slid, reach, 0))
-            origin = np.where(better, origin[holder], origin)
-            new = np.where(better, slid + reach, new)
-        new = np.where((places >= 0) & (places <= len(text)), new, huge)
-        row, source = new, origin
+            holder = np.maximum.accumulate(np.where(better, 0, reach))
+            source = source[holder]
+            new = slid + reach
+        if at_edge:
+            places = begin + r + reach
+            new = np.where((places >= 0) & (places <= len(text)), new, huge)
+        row = new
         if row.min() > most:
             return None
     best = int(np.argmin(row))
