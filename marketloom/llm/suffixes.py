@@ -120,7 +120,7 @@ def _run_cores(docs: DataFrame, depth: int, core: int) -> DataFrame:
     return docs.select("data").mapInArrow(step, "core bigint, n bigint")
 
 
-RUNS = "core bigint, whole bigint, doc_id bigint, first int, last int"
+RUNS = "core bigint, whole bigint, doc_id bigint, first int, last int, copy boolean"
 MARKS = "doc_id bigint, start int, end int, open boolean"
 
 
@@ -138,10 +138,19 @@ def _repeated_runs(docs: DataFrame, passing: Filter, depth: int, core: int) -> D
                         ids = np.full(len(parts[0]), doc_id, dtype=np.int64)
                         for column, part in zip(columns, (parts[0], parts[1], ids, parts[2], parts[3]), strict=True):
                             column.append(part.view(np.int64))
-            joined = [np.concatenate(c) for c in columns]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            core_hash, whole, ids, first, last = (np.concatenate(c) for c in columns)
+            # Equal runs of these documents meet here already: text that repeats itself is no hot group later.
+            order = np.lexsort((first, ids, whole, core_hash))
+            core_hash, whole, ids, first, last = (c[order] for c in (core_hash, whole, ids, first, last))
+            copy = ~(run_starts(core_hash) | run_starts(whole))
+            again = copy & ~(run_starts(ids) | run_starts(first))
+            # Copies are known as such and only have to travel with the rest, spread evenly.
+            places = mix64(ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + first.view(np.uint64)).view(np.int64)
+            core_hash = np.where(copy, places, core_hash)
+            joined = [c[~again] for c in (core_hash, whole, ids, first, last, copy)]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(joined, kinds, strict=True)], names=["core", "whole", "doc_id", "first", "last"]
+                [pa.array(c, t) for c, t in zip(joined, kinds, strict=True)], names=["core", "whole", "doc_id", "first", "last", "copy"]
             )
 
     return docs.select("doc_id", "data").mapInArrow(step, RUNS)
@@ -155,17 +164,28 @@ def _told_apart(found: DataFrame, depth: int) -> DataFrame:
     number of runs.
     """
 
+    def marked(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for ids, start, end, flag in parts:
+            if len(ids):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(np.full(len(ids), flag))],
+                    names=["doc_id", "start", "end", "open"],
+                )
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple | None = None  # core and bytes of the row before
         pending: tuple | None = None  # a core's first run, whose core may still show other bytes
         for batch in batches:
-            core, whole, doc, first, last = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            core, whole, doc, first, last, copy = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            out = [(doc[copy], first[copy], last[copy] + depth, False)]
+            core, whole, doc, first, last = (c[~copy] for c in (core, whole, doc, first, last))
             # A place met twice, from repeated rows, is one place.
             fresh = np.ones(len(core), dtype=bool)
             fresh[1:] = (whole[1:] != whole[:-1]) | (doc[1:] != doc[:-1]) | (first[1:] != first[:-1])
-            fresh[0] = before is None or (whole[0], doc[0], first[0]) != before[1:]
+            fresh[:1] = before is None or not len(core) or (whole[0], doc[0], first[0]) != before[1:]
             core, whole, doc, first, last = (c[fresh] for c in (core, whole, doc, first, last))
             if not len(core):
+                yield from marked(out)
                 continue
             new_core, new_run = run_starts(core), np.ones(len(core), dtype=bool)
             new_run[1:] = new_core[1:] | (whole[1:] != whole[:-1])
@@ -177,7 +197,7 @@ def _told_apart(found: DataFrame, depth: int) -> DataFrame:
             alone = new_core[firsts]
             follows = np.append(alone[1:], True)  # whether the next first run begins another core
             still_open = firsts[~alone | ~follows]
-            out = [(doc[~new_run], first[~new_run], last[~new_run] + depth, False)]
+            out.append((doc[~new_run], first[~new_run], last[~new_run] + depth, False))
             if len(firsts):
                 if pending is not None and not alone[0]:
                     out.append((*(np.array([x]) for x in pending), True))
@@ -186,12 +206,7 @@ def _told_apart(found: DataFrame, depth: int) -> DataFrame:
                     k = firsts[-1]
                     pending = doc[k], first[k], last[k]
             out.append((doc[still_open], first[still_open], last[still_open], True))
-            for ids, start, end, flag in out:
-                if len(ids):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(np.full(len(ids), flag))],
-                        names=["doc_id", "start", "end", "open"],
-                    )
+            yield from marked(out)
 
     ordered = found.repartition("core").sortWithinPartitions("core", "whole", "doc_id", "first")
     return ordered.mapInArrow(step, MARKS)
