@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ready, table
+from marketloom.llm.common import first_by_hash, ready, table
 
 FIT_PAGES = 200
 #: Copies in other markup made of each.
@@ -293,9 +293,7 @@ def learn(pages: DataFrame, html: str = "html", rows: int = FIT_PAGES) -> Chain:
     """Fit the chain on at most ``rows`` pages in hash order that name their article."""
     ready(pages.sparkSession)
     named = pages.where(F.col(html).contains("<article") & (F.length(html) <= FIT_CHARS)).select(F.col(html).alias("html"))
-    # Pages for fitting are chosen by hash alone; only the chosen ones reach the driver.
-    chosen = named.withColumn("order", F.xxhash64("html")).orderBy("order", "html").limit(rows).collect()
-    return Chain().fit(training_pages([r["html"] for r in chosen]))
+    return Chain().fit(training_pages(first_by_hash(named, "html", rows)))
 
 
 # ------------------------------------------------------------------ the operator

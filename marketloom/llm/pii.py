@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ready, table
+from marketloom.llm.common import first_by_hash, ready, staged, table
 
 KINDS = ["email", "ip", "card", "phone"]
 MAX_SPAN = 64
@@ -396,8 +396,8 @@ def learn(docs: DataFrame, text: str = "text", rows: int = FIT_WINDOWS) -> SemiM
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["piece"])
 
     pieces = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(step, "piece string")
-    chosen = pieces.distinct().orderBy(F.xxhash64("piece"), "piece").limit(rows).collect()
-    return SemiMarkovField().fit(training_rows([r["piece"] for r in chosen]))
+    chosen = first_by_hash(staged(pieces.distinct(), "pieces"), "piece", rows)
+    return SemiMarkovField().fit(training_rows(chosen))
 
 
 # ------------------------------------------------------------------ the operator
