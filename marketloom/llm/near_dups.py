@@ -197,7 +197,8 @@ def _in_blocks(crowded: DataFrame, threshold: float) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose full sets reach the similarity."""
-    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends", few(pairs.sparkSession))
+    one, other = (pairs.select(F.col(c).alias("doc_id")).distinct() for c in ("a", "b"))
+    ends = staged(one.unionByName(other).distinct(), "ends", few(pairs.sparkSession))
     likely, _ = split_by_ids(docs, ends, ends.count())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
