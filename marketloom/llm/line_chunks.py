@@ -1,13 +1,16 @@
-"""Repeated multi-line chunks with content-defined boundaries.
+"""Repeated runs of two or more lines.
 
-A text's lines are hashed; a rolling hash over the last ``WINDOW`` line hashes ends a chunk where it falls
-into one of ``DIVISOR`` classes and the chunk has ``LEAST_LINES`` lines. A boundary thus depends on the
-lines around it, not on their number in the text, and chunks fall into step again behind an insertion. Chunks that
-occur more than once in the corpus are found by hash; the first (smallest doc_id, then position) stays and later
-ones go after a comparison of their bytes with the first's.
+The chunks of a text are its pairs of neighbouring lines with a word, with the blank lines between them. A run of
+lines that occurs again is a chain of pairs that occur again, wherever it begins and whatever surrounds it, so all
+repeated runs are found and each goes as a whole. Pairs that occur more than once in the corpus are found by
+hash; the first (smallest doc_id, then position) stays and later ones go after a comparison of their bytes with
+the first's. A line that goes stays where it occurs first.
 
-Only chunks of two or more lines with a word are removed. Texts reach the chunks' owners by one join of
-documents that have a repeated chunk; a bounded Bloom filter of their ids leaves the others out.
+In a row of equal lines the first two are a pair, and every further line is a pair with the line before it that takes
+only itself along: "a a a" keeps "a a". Blank lines go where the lines on both sides went, or the text ends.
+
+Texts reach the pairs' owners by one join of documents that have a repeated pair; a bounded Bloom filter of their
+ids leaves the others out.
 
 Defined cases: null or empty texts have no chunk and stay as they are; texts of one line stay; rows with one
 doc_id are one document, in which equal chunks at the same place are the same occurrence; rows without doc_id
@@ -16,6 +19,7 @@ stay as they are; line ends of what is kept stay, and a text can become empty.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,94 +29,104 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm.bloom import split_by_ids
-from marketloom.llm.common import mix64, staged, table, utf8
-
-WINDOW, DIVISOR, LEAST_LINES = 2, 2, 2
-
-
-def chunk_ranges(lines: list[bytes]) -> list[tuple[int, int]]:
-    """First line and the line after the last one of every chunk."""
-    n = len(lines)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), dtype=np.uint64, count=n)
-    rolled = np.zeros(n, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for back in range(WINDOW):
-            rolled[back:] += hashes[: n - back] * np.uint64(2 * back + 3)
-    ends = np.flatnonzero(mix64(rolled) % np.uint64(DIVISOR) == 0) + 1
-    out, start = [], 0
-    for end in ends.tolist():
-        if end - start >= LEAST_LINES:
-            out.append((start, end))
-            start = end
-    if start < n:
-        out.append((start, n))
+from marketloom.llm.common import staged, table, utf8
+
+
+def chunk_ranges(lines: list[bytes]) -> list[tuple[int, int, int]]:
+    """First line, line after the last one, and first line that goes, of every pair."""
+    full = [i for i, line in enumerate(lines) if line.strip()]
+    out, before = [], None
+    for i, j in zip(full, full[1:], strict=False):
+        # Again the pair before, which shares a line with it.
+        again = before is not None and lines[before : i + 1] == lines[i : j + 1]
+        out.append((i, j + 1, i + 1 if again else i))
+        before = i
     return out
 
 
 def repeatable_chunks(data: bytes) -> list[tuple[int, bytes]]:
-    """Number and bytes of the chunks with two or more lines that have a word."""
+    """Number and bytes of the pairs of lines with a word."""
     lines = data.split(b"\n")
-    if len(lines) < 2:
-        return []
-    out = []
-    for k, (a, b) in enumerate(chunk_ranges(lines)):
-        if sum(bool(line.strip()) for line in lines[a:b]) >= 2:
-            out.append((k, b"\n".join(lines[a:b])))
-    return out
+    return [(k, b"\n".join(lines[a:b])) for k, (a, b, _) in enumerate(chunk_ranges(lines))]
 
 
 def without_chunks(data: bytes, drop: set[int]) -> tuple[bytes, int, int]:
     """The text without these chunks, the number of its lines and of those removed."""
     lines = data.split(b"\n")
-    kept = []
-    for k, (a, b) in enumerate(chunk_ranges(lines)):
-        if k not in drop:
-            kept += lines[a:b]
+    gone = bytearray(len(lines))
+    for k, (_, b, own) in enumerate(chunk_ranges(lines)):
+        if k in drop:
+            gone[own:b] = b"\1" * (b - own)
+    if drop:
+        last, went = -1, True
+        for i in [*(i for i, line in enumerate(lines) if line.strip()), len(lines)]:
+            goes = i == len(lines) or bool(gone[i])
+            if went and goes:
+                gone[last + 1 : i] = b"\1" * (i - last - 1)
+            last, went = i, goes
+    kept = [line for line, g in zip(lines, gone, strict=True) if not g]
     return b"\n".join(kept), len(lines), len(lines) - len(kept)
 
 
+def _halves(digests: list[bytes]) -> list[pa.Array]:
+    """128-bit hashes as two columns of numbers."""
+    halves = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+    return [pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+
+
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, chunk and the first occurrence's bytes for all later occurrences; ``docs`` has doc_id and data."""
+    """doc_id, own and content of the pairs that occur earlier too; ``docs`` has doc_id and data.
+
+    ``own`` is the number of the pair's first occurrence where the document itself has that, else -1.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (doc, k, xxhash.xxh3_128_digest(content))
-                for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for k, content in repeatable_chunks(data)
-            ]
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            ids, digests, times = [], [], []
+            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = Counter(xxhash.xxh3_128_digest(content) for _, content in repeatable_chunks(data))
+                ids += [doc] * len(counts)
+                digests += counts.keys()
+                times += counts.values()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary())],
-                names=["doc_id", "chunk", "hash"],
+                [pa.array(ids, pa.int64()), *_halves(digests), pa.array(times, pa.int64())], names=["doc_id", "h", "g", "times"]
             )
 
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "data")
-    found = staged(known.mapInArrow(hashed, "doc_id bigint, chunk int, hash binary"), "chunks")
-    first = F.min(F.struct("doc_id", "chunk")).alias("first")
-    groups = found.groupBy("hash").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = staged(groups.select(F.col("hash").alias("_hash"), F.col("first.doc_id").alias("d"), F.col("first.chunk").alias("c")), "repeated")
+    found = staged(known.mapInArrow(hashed, "doc_id bigint, h bigint, g bigint, times bigint"), "chunks")
+    groups = found.groupBy("h", "g").agg(F.min("doc_id").alias("d"), F.sum("times").alias("n")).where("n > 1")
 
     # The bytes of the first occurrences.
-    owners = groups.groupBy(F.col("d").alias("doc_id")).agg(F.collect_list("c").alias("wanted"))
+    owners = groups.groupBy(F.col("d").alias("doc_id")).agg(F.collect_list(F.struct("h", "g")).alias("wanted"))
     owners = staged(owners, "owners")
     likely, _ = split_by_ids(known, owners.select("doc_id"), owners.count())
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for data, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                chosen = set(wanted)
-                out += [c for k, c in repeatable_chunks(data) if k in chosen]
+            ids, numbers, out = [], [], []
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            for doc, data, wanted in rows:
+                chosen = set(np.array([(w["h"], w["g"]) for w in wanted], dtype=np.int64).view("V16").ravel().tolist())
+                for k, content in repeatable_chunks(data):
+                    if xxhash.xxh3_128_digest(content) in chosen:
+                        ids.append(doc)
+                        numbers.append(k)
+                        out.append(content)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(map(xxhash.xxh3_128_digest, out), pa.binary()), pa.array(out, pa.binary())], names=["hash", "content"]
-            )
-
-    firsts = likely.join(owners, "doc_id").select("data", "wanted").mapInArrow(contents, "hash binary, content binary")
-    firsts = firsts.join(groups, F.col("hash") == F.col("_hash"), "left_semi").dropDuplicates(["hash"])
-    firsts = staged(firsts.select(F.col("hash").alias("_hash"), "content"), "firsts")
-    later = found.join(groups, F.col("hash") == F.col("_hash")).where("doc_id <> d OR chunk <> c").select("doc_id", "chunk", "hash")
-    return later.join(firsts, F.col("hash") == F.col("_hash")).select("doc_id", "chunk", "content")
+                [pa.array(ids, pa.int64()), *_halves([xxhash.xxh3_128_digest(c) for c in out]),
+                 pa.array(numbers, pa.int32()), pa.array(out, pa.binary())],
+                names=["d", "h", "g", "k", "content"],
+            )
+
+    firsts = likely.join(owners, "doc_id").select("doc_id", "data", "wanted")
+    firsts = firsts.mapInArrow(contents, "d bigint, h bigint, g bigint, k int, content binary").groupBy("h", "g")
+    firsts = firsts.agg(F.min("d").alias("d"), F.min(F.struct("k", "content")).alias("first"), F.max("k").alias("last"))
+    firsts = firsts.select(
+        F.col("h").alias("_h"), F.col("g").alias("_g"), "d", F.col("first.k").alias("k"), "last", F.col("first.content").alias("content")
+    )
+    firsts = staged(firsts, "firsts")
+    joined = found.join(firsts, (F.col("h") == F.col("_h")) & (F.col("g") == F.col("_g"))).where("doc_id <> d OR k <> last")
+    return joined.select("doc_id", F.when(F.col("doc_id") == F.col("d"), F.col("k")).otherwise(F.lit(-1)).alias("own"), "content")
 
 
 def drop_repeated_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -121,10 +135,10 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c not in (text, *added)]
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8(text).alias("data"))
     later = repeated_chunks(source)
-    per_doc = later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("chunk", "content")).alias("_later"))
+    per_doc = later.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("own", "content")).alias("_later"))
     per_doc = staged(per_doc, "later_chunks")
     likely, rest = split_by_ids(docs, per_doc.select(F.col("_id").alias("doc_id")), per_doc.count())
-    none = F.array().cast("array<struct<chunk:int,content:binary>>")
+    none = F.array().cast("array<struct<own:int,content:binary>>")
     joined = likely.join(per_doc, F.col("doc_id") == F.col("_id"), "left")
     rows = joined.select(*kept, F.col(text).alias("_text"), F.coalesce("_later", none).alias("_later")).unionByName(
         rest.select(*kept, F.col(text).alias("_text"), none.alias("_later"))
@@ -138,9 +152,9 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
                 data = (value or "").encode()
                 drop = set()
                 if later:
-                    own = dict(repeatable_chunks(data))
+                    first = {c["content"]: c["own"] for c in later}
                     # The byte comparison: only what equals the first occurrence goes.
-                    drop = {c["chunk"] for c in later if own.get(c["chunk"]) == c["content"]}
+                    drop = {k for k, content in repeatable_chunks(data) if first.get(content, k) != k}
                 clean, n, removed = without_chunks(data, drop) if drop else (data, data.count(b"\n") + 1, 0)
                 texts.append(None if value is None else clean.decode())
                 lines.append(n)
