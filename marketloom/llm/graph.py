@@ -26,7 +26,8 @@ def _ordered(edges: DataFrame, one: str, other: str) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """node and component (the smallest node reachable) for all nodes that have an edge to another node.
 
-    Null ends and loops are left out; repeated edges count once. Ends when a round changes nothing.
+    Null ends and loops are left out; repeated edges count once. Ends when a round changes nothing;
+    an error says so where that takes more than ``rounds``.
     """
     spark = edges.sparkSession
     edges = staged(_ordered(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()), a, b), "edges", few(spark))
@@ -49,6 +50,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     members = edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component"))
     roots = edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return members.unionByName(roots)
