@@ -1,8 +1,8 @@
 """Quality rules: a learned decision list over text statistics.
 
 Sequential covering: on labelled statistics a conjunction of threshold conditions is grown condition by
-condition (information gain), pruned on rows held back, and kept while it stays precise there; the rows
-it covers leave and the next rule is learned. The list comes out as ordered conditions that Spark
+condition (information gain), pruned on rows held back (a third of each class by a hash of the id, dealt anew
+for every rule), and kept while it stays precise; the rows it covers leave and the next rule is learned. The list comes out as ordered conditions that Spark
 evaluates as one CASE expression, the last entry keeping everything else.
 
 The labelled rows for fitting are bounded (``FIT_ROWS``, taken in hash order of the id); statistics are
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ready, table, utf8, words_of
+from marketloom.llm.common import mix64, ready, table, utf8, words_of
 
 FIT_ROWS = 20_000
 LEXICON_WORDS = 256
@@ -219,6 +219,15 @@ def _prune(rule: Rule, matrix: np.ndarray, bad: np.ndarray, names: list[str]) ->
     return max((rule[:k] for k in range(len(rule), 0, -1)), key=worth, default=())
 
 
+def _held_back(hashes: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Every third row of each class in hash order; a class with a row left always has one that isn't held back."""
+    held = np.zeros(len(bad), dtype=bool)
+    for kind in (True, False):
+        rows = np.flatnonzero(bad == kind)
+        held[rows[np.argsort(hashes[rows], kind="stable")][2::3]] = True
+    return held
+
+
 def learn_list(
     matrix: np.ndarray,
     bad: np.ndarray,
@@ -227,12 +236,14 @@ def learn_list(
     min_cover: int = 4,
     most_rules: int = 24,
     most_conditions: int = 4,
+    ids: np.ndarray | None = None,
 ) -> list[Rule]:
-    """Ordered rules that reject; rows no rule covers are kept."""
+    """Ordered rules that reject; rows no rule covers are kept. ``ids`` (row numbers by default) deal rows out."""
     rules: list[Rule] = []
-    held = np.arange(len(bad)) % 3 == 2
-    matrix_left, bad_left, held_left = matrix, bad, held
-    while len(rules) < most_rules and bad_left[~held_left].any() and (~bad_left[~held_left]).any():
+    hashes = mix64((np.arange(len(bad)) if ids is None else np.asarray(ids)).astype(np.uint64))
+    matrix_left, bad_left = matrix, bad
+    while len(rules) < most_rules and bad_left.any() and (~bad_left).any():
+        held_left = _held_back(hashes, bad_left)
         grown = _grow(matrix_left[~held_left], bad_left[~held_left], names, most_conditions)
         rule = _prune(grown, matrix_left[held_left], bad_left[held_left], names)
         if not rule:
@@ -242,7 +253,7 @@ def learn_list(
         if len(caught) < min_cover or caught.mean() < min_precision:
             break
         rules.append(rule)
-        matrix_left, bad_left, held_left = matrix_left[~inside], bad_left[~inside], held_left[~inside]
+        matrix_left, bad_left, hashes = matrix_left[~inside], bad_left[~inside], hashes[~inside]
     return rules
 
 
@@ -331,7 +342,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DecisionL
     pulled = fitted.select("doc_id", "bad", *[ratio(n).alias(n) for n in names]).toPandas()
     pulled = pulled.sort_values(["doc_id", "bad", *names], kind="stable")
     matrix = pulled[names].to_numpy(dtype=float).reshape(-1, len(names))
-    return DecisionList(tuple(learn_list(matrix, pulled["bad"].to_numpy(dtype=bool), names)), listed)
+    rules = learn_list(matrix, pulled["bad"].to_numpy(dtype=bool), names, ids=pulled["doc_id"].to_numpy(dtype=np.int64))
+    return DecisionList(tuple(rules), listed)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
