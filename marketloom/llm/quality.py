@@ -2,7 +2,8 @@
 
 Sequential covering: on labelled statistics a conjunction of threshold conditions is grown condition by
 condition (information gain), pruned on rows held back (a third of each class by a hash of the id, dealt anew
-for every rule), and kept while it stays precise; the rows it covers leave and the next rule is learned. The list comes out as ordered conditions that Spark
+for every rule), and kept while it stays precise; the rows it covers leave and the next rule is learned. Where neither
+the pruned nor the grown rule is precise, the bad rows it was grown for are set aside and the others go on. The list comes out as ordered conditions that Spark
 evaluates as one CASE expression, the last entry keeping everything else.
 
 The labelled rows for fitting are bounded (``FIT_ROWS``, taken in hash order of the id); statistics are
@@ -219,11 +220,11 @@ def _prune(rule: Rule, matrix: np.ndarray, bad: np.ndarray, names: list[str]) ->
     return max((rule[:k] for k in range(len(rule), 0, -1)), key=worth, default=())
 
 
-def _held_back(hashes: np.ndarray, bad: np.ndarray) -> np.ndarray:
+def _held_back(hashes: np.ndarray, bad: np.ndarray, aside: np.ndarray) -> np.ndarray:
     """Every third row of each class in hash order; a class with a row left always has one that isn't held back."""
     held = np.zeros(len(bad), dtype=bool)
     for kind in (True, False):
-        rows = np.flatnonzero(bad == kind)
+        rows = np.flatnonzero((bad == kind) & ~aside)
         held[rows[np.argsort(hashes[rows], kind="stable")][2::3]] = True
     return held
 
@@ -242,18 +243,26 @@ def learn_list(
     rules: list[Rule] = []
     hashes = mix64((np.arange(len(bad)) if ids is None else np.asarray(ids)).astype(np.uint64))
     matrix_left, bad_left = matrix, bad
-    while len(rules) < most_rules and bad_left.any() and (~bad_left).any():
-        held_left = _held_back(hashes, bad_left)
-        grown = _grow(matrix_left[~held_left], bad_left[~held_left], names, most_conditions)
-        rule = _prune(grown, matrix_left[held_left], bad_left[held_left], names)
-        if not rule:
+    # Bad rows that led to an imprecise rule: they count, but no rule is grown for them.
+    aside = np.zeros(len(bad), dtype=bool)
+    misses = 0
+    while max(len(rules), misses) < most_rules and (bad_left & ~aside).any() and (~bad_left).any():
+        held_left = _held_back(hashes, bad_left, aside)
+        growing = ~held_left & ~aside
+        grown = _grow(matrix_left[growing], bad_left[growing], names, most_conditions)
+        pruned = _prune(grown, matrix_left[held_left], bad_left[held_left], names)
+        if not grown:
             break
-        inside = _covered(rule, matrix_left, names)
-        caught = bad_left[inside]
-        if len(caught) < min_cover or caught.mean() < min_precision:
-            break
-        rules.append(rule)
-        matrix_left, bad_left, hashes = matrix_left[~inside], bad_left[~inside], hashes[~inside]
+        for rule in dict.fromkeys((pruned, grown)):
+            inside = _covered(rule, matrix_left, names)
+            caught = bad_left[inside]
+            if len(caught) >= min_cover and caught.mean() >= min_precision:
+                rules.append(rule)
+                matrix_left, bad_left, hashes, aside = (x[~inside] for x in (matrix_left, bad_left, hashes, aside))
+                break
+        else:
+            aside |= bad_left & _covered(grown, matrix_left, names)
+            misses += 1
     return rules
 
 
