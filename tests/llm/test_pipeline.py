@@ -32,20 +32,32 @@ def folder(spark, tmp_path_factory, make_docs, corpus):
     return str(path)
 
 
-@pytest.mark.xfail(reason="the quality list learned on this small fixture rejects nothing; cause not found yet", strict=False)
-def test_stages_equal_brute_force(spark, folder):
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    columns = docs.columns
+@pytest.fixture(scope="module")
+def results(spark, folder):
+    """Every stage's result on that of the stage before, in the pipeline's order."""
+    out = [spark.read.parquet(f"{folder}/documents.parquet")]
+    for name, step in corpus_pipeline.STAGES:
+        out.append(staged(step(spark, out[-1], folder), name))
+    return out
+
+
+def test_stages():
     steps = dict(corpus_pipeline.STAGES)
     assert list(steps) == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "best_fit_packing"]
 
-    good = staged(steps["quality_rules"](spark, docs, folder), "a")
+
+def test_quality_stage(results):
+    docs, good = results[:2]
+    columns = docs.columns
     ids = {r.doc_id for r in good.collect()}
     assert good.columns == columns
     wrong = [k for k in range(60) if (1000 + k in ids) != (k % 3 == 0)]
     assert wrong == [] and 700 in ids
 
-    lines = staged(steps["line_dedup"](spark, good, folder), "b")
+
+def test_line_stage(results):
+    docs, good, lines = results[:3]
+    columns = docs.columns
     seen, want = set(), {}
     for r in sorted(good.collect(), key=lambda r: r.doc_id):
         data, drop = (r.text or "").encode(), set()
@@ -59,22 +71,47 @@ def test_stages_equal_brute_force(spark, folder):
     assert {r.doc_id: r.text for r in lines.collect()} == want and lines.columns == columns
     assert all(r.n_chars == len(r.text) for r in lines.collect() if r.text)
 
-    single = staged(steps["near_dedup"](spark, lines, folder), "c")
+
+def test_near_stage(results):
+    docs, _, lines, single = results[:4]
+    columns = docs.columns
     groups = {r.doc_id: r.kept for r in near_dups.near_duplicates(lines).collect()}
     assert {r.doc_id for r in single.collect()} == {i for i, kept in groups.items() if kept}
-    assert single.columns == columns and any(not kept for kept in groups.values())
+    assert single.columns == columns
+
+
+@pytest.mark.xfail(reason="line dedup leaves no near-duplicates in this fixture", strict=False)
+def test_near_stage_has_work(results):
+    groups = {r.doc_id: r.kept for r in near_dups.near_duplicates(results[2]).collect()}
+    assert any(not kept for kept in groups.values())
+
+
+def test_near_stage_drops_near_copies(spark, make_docs):
+    """Texts of one line, which line dedup leaves alone."""
+    words = [f"word{k}" for k in range(200)]
+    rows = [(1, " ".join(words)), (2, " ".join(["changed", *words[1:]])), (3, " ".join(words[::-1]))]
+    lines = corpus_pipeline.line_dedup(spark, make_docs(rows), "")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, lines, "").collect()) == [1, 3]
 
-    clean = staged(steps["decontamination"](spark, single, folder), "d")
+
+def test_decontamination_stage(results):
+    docs, _, _, single, clean = results[:5]
+    columns = docs.columns
     assert {r.doc_id for r in single.collect()} - {r.doc_id for r in clean.collect()} == {700}
     assert clean.columns == columns
 
-    packed = steps["best_fit_packing"](spark, clean, folder).collect()
+
+def test_packing_stage(results):
+    clean, packed = results[4], results[5].collect()
     kept = {r.doc_id: r.text or "" for r in clean.collect()}
     tokenizer = packing.TextTokenizer(packing.default_tokenizer()[0])
     ids = {i: t + (2).to_bytes(4, "little") for i, t in zip(kept, tokenizer.ids(list(kept.values())), strict=True)}
     got = {i: b"".join(bytes(r.ids) for r in sorted((r for r in packed if r.doc_id == i), key=lambda r: r.piece)) for i in kept}
     assert got == ids
 
+
+def test_run_equals_the_stages(spark, folder, results):
+    packed = results[5].collect()
     whole = {(r.doc_id, r.piece, r.start, r.length) for r in corpus_pipeline.run(spark, folder).collect()}
     assert whole == {(r.doc_id, r.piece, r.start, r.length) for r in packed}
 
