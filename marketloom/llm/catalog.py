@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.llm import (
     decontaminate,
     html_text,
+    language_id,
     line_chunks,
     lm_score,
     near_dups,
     packing,
+    phrases,
     pii,
     quality,
+    ranked_search,
     suffixes,
     url_filter,
 )
@@ -30,9 +33,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_bytes": suffixes.op8,
     "op9_quality_rules": quality.op9,
     "op10_url_filter": url_filter.op10,
+    "op11_language_id": language_id.op11,
+    "op12_ranked_search": ranked_search.op12,
+    "op13_phrases": phrases.op13,
 }
 
 SQL: dict[str, str] = {
     "op3_near_duplicates": near_dups.OP3_SQL,
     "op10_url_filter": url_filter.OP10_SQL,
+    "op12_ranked_search": ranked_search.OP12_SQL,
+    "op13_phrases": phrases.OP13_SQL,
 }
