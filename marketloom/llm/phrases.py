@@ -6,11 +6,13 @@ a phrase is a run of words inside a piece. Everything is kept apart by language
 * **Sample.** One document in ``SAMPLE`` by a hash of its id is mined level by level, with a threshold lowered by two
   standard deviations. The phrases found frequent there are the proposals.
 * **Full pass.** Every single word is counted, and every longer phrase whose first words and whose last words (all but one)
-  are both proposed: these are the proposals and their negative border, as far as it occurs. Counts are exact.
+  are both proposed: these are the proposals and their negative border, as far as it occurs. Proposals, and phrases of the
+  greatest length, are counted by their words. The border is far larger and hardly ever frequent, so it is counted by 64-bit
+  hashes; two phrases that share one can only make a count too high.
 * **Expansion.** Phrases that prove frequent without having been proposed are failures of the border. A frequent phrase that
   wasn't counted has an end that wasn't proposed; that end is frequent too, so it is such a failure or wasn't counted
-  either, and so on down: it holds a failure. A further pass counts what holds a failure and wasn't counted, of all lengths at
-  once. Passes end when nothing is frequent that was neither proposed nor expanded.
+  either, and so on down: it holds a failure. A further pass counts the failures by their words, and with them what holds a
+  failure and wasn't counted, of all lengths at once. Nothing frequent is then left uncounted, and every count is exact.
 
 Tasks know proposals and failures from Bloom filters of bounded size. They never miss one; what they let pass besides, or when
 they are full, is counted for nothing and leaves the result as it is. What the full pass counted is told by the same
@@ -122,10 +124,10 @@ def longer(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
 
 class Pass:
     """What a pass counts of the given lengths: without ``missed``, single words and phrases whose two ends were proposed; with
-    it, other phrases that hold a missed one."""
+    it, the missed ones and what holds one. ``spell_all`` gives all of it with its words, else the border goes by hash."""
 
-    def __init__(self, lengths: tuple[int, ...], proposed: Filter | None, missed: Filter | None) -> None:
-        self.lengths, self.proposed, self.missed = lengths, proposed, missed
+    def __init__(self, lengths: tuple[int, ...], proposed: Filter | None, missed: Filter | None, spell_all: bool) -> None:
+        self.lengths, self.proposed, self.missed, self.spell_all = lengths, proposed, missed, spell_all
 
     def rows(self, words: Words) -> Iterator[pa.RecordBatch]:
         if not words.size:
@@ -133,50 +135,48 @@ class Pass:
         names, word_hash = words.names()
         named = pa.array(names, pa.binary())
         line = words.line()
+        yield _rows(pa.array([words.lang]), pa.nulls(1, pa.string()), 0, np.zeros(1, np.uint64), np.array([np.count_nonzero(line)]))
         for start in range(0, len(line), SECTION):
             section = line[start : start + SECTION + LONGEST - 1]
-            for n, at, counts, hashes in self._section(section, word_hash):
-                columns = [pc.take(named, pa.array(section[at + i])) for i in range(n)]
+            for n, at, counts, hashes, spelled in self._section(section, word_hash):
+                own = at[spelled]
+                columns = [pc.take(named, pa.array(section[own + i])) for i in range(n)]
                 phrase = columns[0] if n == 1 else pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([words.lang] * len(at), pa.string()),
-                        phrase.cast(pa.string()),
-                        pa.array(np.full(len(at), n, dtype=np.int32)),
-                        pa.array(hashes.view(np.int64)),
-                        pa.array(counts),
-                    ],
-                    names=["lang", "phrase", "words", "key", "f"],
-                )
+                lang = pa.array([words.lang] * len(own), pa.string())
+                yield _rows(lang, phrase.cast(pa.string()), n, hashes[spelled], counts[spelled])
+                rest = len(at) - len(own)
+                yield _rows(pa.nulls(rest, pa.string()), pa.nulls(rest, pa.string()), n, hashes[~spelled], counts[~spelled])
 
     def _section(self, line: np.ndarray, word_hash: np.ndarray) -> Iterator[tuple]:
-        """(words, first places, counts, hashes) of the distinct phrases that begin in the section."""
+        """(words, first places, counts, hashes, whether it is spelled) of the distinct phrases that begin in the section."""
         own = min(SECTION, len(line))
         is_word = line != _END
         # Equal phrases have equal marks; those of n + 1 words come from those of n words and the next word.
         inside, hashes, marks = is_word, word_hash[line], line.astype(np.int64)
-        if 1 in self.lengths:
-            yield from self._distinct(1, np.flatnonzero(inside[:own]), marks, hashes)
-        if self.proposed is None:
-            return
-        proposed = _members(self.proposed, hashes, marks, inside)
-        holds = _members(self.missed, hashes, marks, inside)
+        over, ends = np.zeros(len(line), dtype=bool), inside
         new: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for n in range(2, min(max(self.lengths), len(line)) + 1):
-            inside = inside[:-1] & is_word[n - 1 :]
-            ends = inside & proposed[:-1] & proposed[1:]
-            over = inside & (holds[:-1] | holds[1:])
-            hashes = longer(hashes[:-1], word_hash[line[n - 1 :]])
-            at = np.flatnonzero(ends)
-            grown = np.zeros(len(hashes), dtype=np.int64)
-            grown[at] = _ranks(marks[at] * len(word_hash) + line[at + n - 1])
-            marks = grown
-            if n in self.lengths and self.missed is None:
-                yield from self._distinct(n, np.flatnonzero(ends[:own]), marks, hashes)
-            elif n in self.lengths:
-                new[n] = (over[:own] & ~ends[:own], hashes)
+        for n in range(1, min(max(self.lengths), len(line)) + 1):
+            if n > 1:
+                inside = inside[:-1] & is_word[n - 1 :]
+                ends = inside & proposed[:-1] & proposed[1:]
+                over = inside & (holds[:-1] | holds[1:])
+                hashes = longer(hashes[:-1], word_hash[line[n - 1 :]])
+                at = np.flatnonzero(ends)
+                grown = np.zeros(len(hashes), dtype=np.int64)
+                grown[at] = _ranks(marks[at] * len(word_hash) + line[at + n - 1])
+                marks = grown
             proposed = _members(self.proposed, hashes, marks, ends)
-            holds = over | _members(self.missed, hashes, marks, ends)
+            failed = _members(self.missed, hashes, marks, ends)
+            holds = over | failed
+            if n not in self.lengths:
+                continue
+            if self.missed is not None:
+                again = failed & ~proposed if n < LONGEST else np.zeros(len(ends), dtype=bool)
+                new[n] = (((over & ~ends) | again)[:own], hashes)
+            else:
+                first, counts = self._distinct(np.flatnonzero(ends[:own]), marks)
+                spelled = np.ones(len(first), dtype=bool) if self.spell_all or n == LONGEST else proposed[first]
+                yield n, first, counts, hashes[first], spelled
         if new:
             yield from self._expanded(line, new, len(word_hash))
 
@@ -187,24 +187,30 @@ class Pass:
             any_length[: len(fresh)] |= fresh
         at = np.flatnonzero(any_length)
         marks = line[at].astype(np.int64)
-        for n in range(2, max(new) + 1):
-            marks = _ranks(marks * numbers + line[np.minimum(at + n - 1, len(line) - 1)])
+        whole = np.zeros(len(line), dtype=np.int64)
+        for n in range(1, max(new) + 1):
+            if n > 1:
+                marks = _ranks(marks * numbers + line[np.minimum(at + n - 1, len(line) - 1)])
             if n in new:
                 fresh, hashes = new[n]
                 mine = at < len(fresh)
                 mine[mine] = fresh[at[mine]]
-                whole = np.zeros(len(line), dtype=np.int64)
                 whole[at] = marks
-                yield from self._distinct(n, at[mine], whole, hashes)
+                first, counts = self._distinct(at[mine], whole)
+                yield n, first, counts, hashes[first], np.ones(len(first), dtype=bool)
 
     @staticmethod
-    def _distinct(n: int, at: np.ndarray, marks: np.ndarray, hashes: np.ndarray) -> Iterator[tuple]:
-        if not len(at):
-            return
+    def _distinct(at: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first place of each mark among the given places, and how many have it."""
         order = np.argsort(marks[at], kind="stable")
-        starts = np.flatnonzero(run_starts(marks[at][order]))
-        first = at[order[starts]]
-        yield n, first, np.diff(np.append(starts, len(at))), hashes[first]
+        starts = np.flatnonzero(run_starts(marks[at][order])) if len(at) else order
+        return at[order[starts]], np.diff(np.append(starts, len(at)))
+
+
+def _rows(lang: pa.Array, phrase: pa.Array, words: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    number = pa.array(np.full(len(hashes), words, dtype=np.int32))
+    columns = [lang, phrase, number, pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "key", "f"])
 
 
 def _ranks(values: np.ndarray) -> np.ndarray:
@@ -233,10 +239,17 @@ _COUNTED = "lang string, phrase string, words int, key bigint, f bigint"
 
 
 def count_phrases(
-    texts: DataFrame, lengths: tuple[int, ...], proposed: Filter | None = None, missed: Filter | None = None
+    texts: DataFrame,
+    lengths: tuple[int, ...],
+    proposed: Filter | None = None,
+    missed: Filter | None = None,
+    spell_all: bool = True,
 ) -> DataFrame:
-    """lang, phrase, words, key, f of what a pass counts. ``texts`` has lang and the text as bytes."""
-    plan = texts.sparkSession.sparkContext.broadcast(Pass(lengths, proposed, missed))
+    """lang, phrase, words, key, f of what a pass counts. ``texts`` has lang and the text as bytes.
+
+    Rows without a phrase are the border by hash; rows of 0 words are the number of words in each language.
+    """
+    plan = texts.sparkSession.sparkContext.broadcast(Pass(lengths, proposed, missed, spell_all))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Words] = {}
@@ -252,10 +265,13 @@ def count_phrases(
         for words in held.values():
             yield from plan.value.rows(words)
 
-    partial = texts.mapInArrow(step, _COUNTED)
-    return partial.groupBy("lang", "phrase").agg(
-        F.first("words").alias("words"), F.first("key").alias("key"), F.sum("f").alias("f")
-    )
+    # Sections have combined their counts, so rows go straight to the task of their key.
+    partial = texts.mapInArrow(step, _COUNTED).repartition("key")
+    return partial.groupBy("key", "lang", "phrase", "words").agg(F.sum("f").alias("f"))
+
+
+def _frequent(counted: DataFrame, least: int) -> DataFrame:
+    return counted.where((F.col("f") >= least) & (F.col("words") > 0))
 
 
 def _filter(proposed: DataFrame) -> Filter:
@@ -265,10 +281,10 @@ def _filter(proposed: DataFrame) -> Filter:
 
 def sampled_phrases(texts: DataFrame, least: int, longest: int = LONGEST) -> DataFrame:
     """Frequent phrases of the texts, mined level by level: the words, then what is over the frequent ones."""
-    found = staged(count_phrases(texts, (1,)).where(F.col("f") >= least), "sampled_words")
+    found = staged(_frequent(count_phrases(texts, (1,)), least), "sampled_words")
     for n in range(2, longest):
         # Phrases of the longest kind are over no others, so they need not be proposed.
-        grown = count_phrases(texts, (n,), _filter(found)).where(F.col("f") >= least)
+        grown = _frequent(count_phrases(texts, (n,), _filter(found)), least)
         found = found.unionByName(staged(grown, f"sampled_{n}"))
     return found
 
@@ -288,22 +304,18 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     lengths = tuple(range(1, longest + 1))
     held = _filter(proposed)
-    counted = staged(count_phrases(texts, lengths, held), "phrase_counts")
-    sizes = staged(counted.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n")), "language_words", files=1)
-    frequent = counted.where(F.col("f") >= least)
-    known = proposed.select("lang", "phrase")
-    for passes in range(1, longest + 1):
-        missed = frequent.where(F.col("words") < longest).join(known, ["lang", "phrase"], "left_anti")
-        missed = staged(missed.select("key", "words"), f"missed_{passes}")
-        shortest = missed.agg(F.min("words").alias("words")).first()["words"]
-        if shortest is None:
-            return frequent, sizes, passes
-        more = count_phrases(texts, tuple(range(shortest + 1, longest + 1)), held, _filter(missed))
-        more = staged(more.where(F.col("f") >= least), f"expansion_{passes}")
-        # What holds an expanded phrase has been counted with it.
-        known = frequent.select("lang", "phrase").unionByName(more.select("lang", "phrase"))
-        frequent = frequent.unionByName(more)
-    raise RuntimeError("phrases didn't close")
+    full = count_phrases(texts, lengths, held, spell_all=False).where((F.col("f") >= least) | (F.col("words") == 0))
+    counted = staged(full, "phrase_counts")
+    sizes = counted.where((F.col("words") == 0) & (F.col("f") > 0)).select("lang", F.col("f").alias("n"))
+    frequent = _frequent(counted, least)
+    spelled = frequent.where(F.col("phrase").isNotNull())
+    unknown = spelled.where(F.col("words") < longest).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+    missed = frequent.where(F.col("phrase").isNull()).select("key").unionByName(unknown.select("key"))
+    missed = staged(missed, "missed_phrases")
+    if missed.isEmpty():
+        return spelled, sizes, 1
+    more = staged(_frequent(count_phrases(texts, lengths, held, _filter(missed)), least), "expanded_phrases")
+    return spelled.unionByName(more), sizes, 2
 
 
 # ------------------------------------------------------------------ scores
