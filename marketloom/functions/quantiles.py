@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -96,3 +97,75 @@ def exact_quantiles(
         low, high = F.col("_at")[F.floor(place)], F.col("_at")[F.ceil(place)]
         out.append(low + (high - low) * (place - F.floor(place)))
     return found.select(*keys, F.array(*out).alias("quantiles"), "n")
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], buckets: int = 256) -> Column:
+    """Linearly interpolated quantiles of several columns: a struct of one array of doubles for each, as a scalar.
+
+    No row is keyed by its column. One aggregate cuts every column into buckets by approximate percentiles, which only balance
+    the work. A second one counts the rows of all columns' buckets in arrays. From these the driver knows which buckets
+    hold the wanted ranks, two ranks for each prob at most; a third pass sums up the distinct values of those buckets alone,
+    by value, and picks the ranks from running counts inside a bucket. A value that many rows share is one row there.
+    """
+    spark = df.sparkSession
+    columns = list(columns)
+    values = {c: F.col(c).cast("double") for c in columns}
+    share = [i / buckets for i in range(1, buckets)]
+    cut = df.agg(*[F.percentile_approx(v, share, F.lit(10 * buckets)).alias(c) for c, v in values.items()]).first()
+    cuts = {c: sorted(set(cut[c] or ())) for c in columns}
+
+    def bucket(c: str) -> Column:
+        """How many cuts lie under the value; null for null."""
+        edges = F.array(*[F.lit(float(e)) for e in cuts[c]]).cast("array<double>")
+        return F.when(values[c].isNotNull(), F.size(F.filter(edges, lambda e: e < values[c])))
+
+    # Bucket numbers of every row, counted as one row for each bucket and column; map-side, so few rows move.
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), bucket(c).alias("b")) for i, c in enumerate(columns)])
+    sizes: list[dict[int, int]] = [{} for _ in columns]
+    for r in df.select(F.explode(pairs).alias("p")).groupBy("p.c", "p.b").agg(F.count(F.lit(1)).alias("n")).collect():
+        if r["b"] is not None:
+            sizes[r["c"]][r["b"]] = r["n"]
+
+    wanted: list[tuple[int, int, int]] = []
+    places: list[list[tuple[int, int, float]]] = []
+    for i in range(len(columns)):
+        n = sum(sizes[i].values())
+        at = [(n - 1) * p for p in probs] if n else []
+        places.append([(math.floor(x), math.ceil(x), x - math.floor(x)) for x in at])
+        ranks = sorted({r for low, high, _ in places[-1] for r in (low, high)})
+        start = 0
+        for b in sorted(sizes[i]):
+            wanted += [(i, b, r - start) for r in ranks if start <= r < start + sizes[i][b]]
+            start += sizes[i][b]
+
+    found: dict[tuple[int, int, int], float] = {}
+    if wanted:
+        inside = {(i, b) for i, b, _ in wanted}
+        kept = [
+            F.when(bucket(c).isin([b for j, b in inside if j == i]), F.struct(F.lit(i).alias("c"), bucket(c).alias("b"), values[c].alias("v")))
+            for i, c in enumerate(columns)
+        ]
+        distinct = (
+            df.select(F.explode(F.array(*kept)).alias("p"))
+            .where(F.col("p").isNotNull())
+            .groupBy("p.c", "p.b", "p.v")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        run = F.sum("n").over(W.partitionBy("c", "b").orderBy("v"))
+        ranks = spark.createDataFrame(wanted, "c int, b int, rank bigint")
+        hits = distinct.withColumn("_run", run).join(ranks, ["c", "b"])
+        hits = hits.where((F.col("rank") < F.col("_run")) & (F.col("rank") >= F.col("_run") - F.col("n")))
+        found = {(r["c"], r["b"], r["rank"]): r["v"] for r in hits.select("c", "b", "rank", "v").collect()}
+
+    out = []
+    for i, c in enumerate(columns):
+        starts, at, start = {}, {}, 0
+        for b in sorted(sizes[i]):
+            starts[b] = start
+            start += sizes[i][b]
+        for j, b, r in wanted:
+            if j == i:
+                at[starts[b] + r] = found[j, b, r]
+        points = [at[low] + (at[high] - at[low]) * part for low, high, part in places[i]] or [None] * len(probs)
+        out.append(F.array(*[F.lit(x).cast("double") for x in points]).alias(c))
+    return F.struct(*out)

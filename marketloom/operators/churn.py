@@ -21,7 +21,7 @@ from marketloom.functions.columns import (
     ratio,
 )
 from marketloom.functions.keys import hash_position, train_test_split
-from marketloom.functions.quantiles import exact_quantiles
+from marketloom.functions.quantiles import column_quantiles
 from marketloom.operators.cleaning import cut_date, fill_missing
 from marketloom.session import stored
 
@@ -193,15 +193,19 @@ def churn_rate(features: DataFrame) -> DataFrame:
 def stratified_split(
     df: DataFrame, label: str, keys: list[str], share: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Split that keeps the class shares: the cut is the exact quantile of a key hash in each class."""
-    placed = df.withColumn("_place", hash_position(keys, seed).cast("double"))
-    cuts = exact_quantiles(placed, "_place", [share], keys=[label]).select(
-        F.col(label).alias("_class"), F.col("quantiles")[0].alias("_cut")
-    )
-    marked = placed.join(cuts, F.col(label) == F.col("_class"))
-    first = F.col("_place") < F.col("_cut")
-    drop = ["_place", "_class", "_cut"]
-    return marked.where(first).drop(*drop), marked.where(~first).drop(*drop)
+    """Split that keeps the class shares: the cut is the exact quantile of a key hash in each class.
+
+    The few classes become columns of one selection, so no row is shuffled by its class. Rows without a class are left out.
+    """
+    placed = df.where(F.col(label).isNotNull()).withColumn("_place", hash_position(keys, seed).cast("double"))
+    classes = sorted(r[0] for r in placed.select(label).distinct().collect())
+    if not classes:
+        return df.limit(0), df.limit(0)
+    own = {f"_c{i}": F.when(F.col(label) == value, F.col("_place")) for i, value in enumerate(classes)}
+    cuts = column_quantiles(placed.select(*[column.alias(name) for name, column in own.items()]), list(own), [share])
+    cut = F.coalesce(*[F.when(F.col(label) == value, cuts[f"_c{i}"][0]) for i, value in enumerate(classes)])
+    first = F.col("_place") < cut
+    return placed.where(first).drop("_place"), placed.where(~first).drop("_place")
 
 
 def churn_rf(

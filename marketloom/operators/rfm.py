@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.columns import at_least, at_most, calendar_days, elapsed_days, ratio
-from marketloom.functions.quantiles import exact_quantiles
+from marketloom.functions.quantiles import column_quantiles, exact_quantiles
 from marketloom.operators.reports import top_n
 from marketloom.session import stored
 
@@ -25,6 +25,7 @@ SEGMENT_NAMES = [
 ]
 LOWEST_SEGMENT = "Lost"
 
+METRICS = ["Recency", "Frequency", "Monetary"]
 PROBS = [0.2, 0.4, 0.6, 0.8]
 
 
@@ -106,53 +107,38 @@ def rfm_metrics(customer_sales: DataFrame) -> DataFrame:
 
 
 def rfm_quintiles(metrics: DataFrame) -> DataFrame:
-    """The 20, 40, 60 and 80 percent points of each metric, one row per metric."""
-    long = metrics.select(
-        F.expr(
-            "stack(3, 'Recency', CAST(Recency AS DOUBLE), 'Frequency', CAST(Frequency AS DOUBLE),"
-            " 'Monetary', CAST(Monetary AS DOUBLE)) AS (Metric, Value)"
-        )
-    )
-    points = exact_quantiles(long, "Value", PROBS, keys=["Metric"])
-    return points.select(
-        "Metric", *[F.col("quantiles")[i].alias(f"q{int(p * 100)}") for i, p in enumerate(PROBS)]
-    )
+    """The 20, 40, 60 and 80 percent points of each metric, one row per metric that has values."""
+    points = column_quantiles(metrics, METRICS, PROBS)
+    each = F.array(*[F.struct(F.lit(m).alias("Metric"), points[m].alias("q")) for m in METRICS])
+    rows = metrics.sparkSession.range(1).select(F.explode(each).alias("p"))
+    named = [F.col("p.q")[i].alias(f"q{int(p * 100)}") for i, p in enumerate(PROBS)]
+    return rows.where(F.col("p.q")[0].isNotNull()).select("p.Metric", *named)
 
 
 def rfm_quintile(customer_sales: DataFrame, weights: Sequence[int] = (3, 3, 4)) -> DataFrame:
     """Scores by the quintiles of the customers themselves; frequency counts invoices."""
     metrics = stored(rfm_metrics(customer_sales))
-    points = rfm_quintiles(metrics)
-
-    def point(metric: str, q: str) -> Column:
-        # Three rows at most, folded into one struct for the subquery.
-        column = F.max(F.when(F.col("Metric") == metric, F.col(q)))
-        return column.alias(f"{metric}_{q}")
-
-    names = [f"q{int(p * 100)}" for p in PROBS]
-    folded = points.agg(
-        *[point(metric, q) for metric in ("Recency", "Frequency", "Monetary") for q in names]
-    )
+    points = column_quantiles(metrics, METRICS, PROBS)
 
     def ladder(metric: str, hits) -> Column:
         out = None
-        for name, score in hits:
-            edge = F.col("_edges")[f"{metric}_{name}"]
-            value = F.col(metric).cast("double")
+        value = F.col(metric).cast("double")
+        for place, score in hits:
+            edge = points[metric][place]
             hit = value <= edge if metric == "Recency" else value >= edge
             out = F.when(hit, score) if out is None else out.when(hit, score)
         return out.otherwise(1)
 
-    rising = list(zip(names, [5, 4, 3, 2], strict=True))
-    falling = list(zip(reversed(names), [5, 4, 3, 2], strict=True))
-    scored = metrics.withColumn("_edges", folded.select(F.struct("*")).scalar()).withColumns(
+    rising = list(zip(range(len(PROBS)), [5, 4, 3, 2], strict=True))
+    falling = list(zip(reversed(range(len(PROBS))), [5, 4, 3, 2], strict=True))
+    scored = metrics.withColumns(
         {
             "R_Score": ladder("Recency", rising),
             "F_Score": ladder("Frequency", falling),
             "M_Score": ladder("Monetary", falling),
         }
     )
-    return _finish(scored.drop("_edges"), weights)
+    return _finish(scored, weights)
 
 
 def segment_metrics(rfm: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +20,17 @@ from marketloom.sources.schemas import MONEY
 
 # Similarities are ranked and reported at this precision, so summation order cannot reorder ties.
 DIGITS = 9
-#: Ids in a block; a task meets two blocks.
-BLOCK_IDS = 4096
-#: Cells of the other block that a task multiplies at once.
+#: Cells in a block of ids; a task meets two blocks.
+BLOCK_CELLS = 1 << 16
+#: Products of two cells that a task adds up at once; a row has as many as a block has cells at most.
 POSTINGS = 1 << 20
+#: Similarities of a block that a task holds at once.
+HELD = 1 << 21
+#: Bounds are sums in another order than the similarities, which are rounded.
+SLACK = 4 * 10.0**-DIGITS
+MOST_TASKS = 20_000
+#: Parts in which blocks are numbered.
+PARTS = 1024
 
 
 def interactions(customer_sales: DataFrame) -> DataFrame:
@@ -66,83 +76,199 @@ def unit_vectors(cells: DataFrame, entity: str, feature: str, weight: str) -> Da
     )
 
 
-def _block_best(block: pa.Table, k: int) -> pa.Table:
-    """The k most similar right ids of every left id in one pair of blocks, ties by id.
-
-    Each left id's dot products with all right ids are added up feature by feature, in the order of the
-    features, so both directions of a pair give the same sum.
+class _Side:
+    """The ids of a block in order, with their cells by id and by feature. Features are numbers."""
+
+    def __init__(self, ids: np.ndarray, features: np.ndarray, weights: np.ndarray, asks: np.ndarray) -> None:
+        self.names, who = np.unique(ids, return_inverse=True)
+        by_id, by_feature = np.lexsort((features, who)), np.lexsort((who, features))
+        self.features, self.weights = features[by_id], weights[by_id]
+        self.edges = np.searchsorted(who[by_id], np.arange(len(self.names) + 1))
+        self.posting_feature, self.posting_id = features[by_feature], who[by_feature]
+        self.posting_weight = weights[by_feature]
+        self.asks = np.zeros(len(self.names), dtype=bool)
+        self.asks[who[asks]] = True
+
+    def rows(self, other: _Side, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Some of the chosen ids at a time, with their similarities to all ids of another side, -1 where no feature is shared.
+
+        They are added up feature by feature in order, so both directions of a pair give the same sum.
+        """
+        low = np.searchsorted(other.posting_feature, self.features, side="left")
+        sizes = np.searchsorted(other.posting_feature, self.features, side="right") - low
+        whole = np.concatenate([[0], np.cumsum(sizes)])
+        work = np.cumsum(whole[self.edges[chosen + 1]] - whole[self.edges[chosen]])
+        wide, start = len(other.names), 0
+        while start < len(chosen):
+            done = work[start - 1] if start else 0
+            upto = max(start + 1, int(np.searchsorted(work, done + POSTINGS, side="right")))
+            ids = chosen[start : min(upto, start + max(1, HELD // wide))]
+            start += len(ids)
+            lengths = self.edges[ids + 1] - self.edges[ids]
+            cell = np.repeat(self.edges[ids] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+            size = sizes[cell]
+            entry = np.repeat(low[cell] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            place = np.repeat(np.repeat(np.arange(len(ids)), lengths) * wide, size) + other.posting_id[entry]
+            dots = np.bincount(place, np.repeat(self.weights[cell], size) * other.posting_weight[entry], len(ids) * wide)
+            yield ids, np.where(dots > 0, np.round(dots, DIGITS), -1.0).reshape(len(ids), wide)
+
+
+def _row_best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k largest similarities of every row, equal ones by column."""
+    if sims.shape[1] > k:
+        kth = np.maximum(np.partition(sims, -k, axis=1)[:, -k], 0.0)
+        row, column = np.nonzero(sims >= kth[:, None])
+    else:
+        row, column = np.nonzero(sims >= 0)
+    order = np.lexsort((column, -sims[row, column], row))
+    row, column = row[order], column[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], column[place < k]
+
+
+def _pair_best(left: _Side, right: _Side, k: int, own: bool) -> pa.Table:
+    """The k most similar ids of the other block for every id that asks, ties by id; each pair is computed once.
+
+    A few rows are held at a time; ids on the right get their best of these rows. The final cut is to k over all.
     """
-    table = block.to_pandas()
-    left, right = table[table["side"] == 0], table[table["side"] == 1]
-    codes, _ = pd.factorize(table["f"], sort=True)
-    left_f, right_f = codes[table["side"] == 0], codes[table["side"] == 1]
-    names, who = np.unique(right["id"].to_numpy(dtype=object), return_inverse=True)
-    order = np.argsort(right_f, kind="stable")
-    postings_f, postings_id = right_f[order], who[order]
-    postings_w = right["w"].to_numpy(dtype=float)[order]
-    mine = np.lexsort((left_f, left["id"].to_numpy(dtype=object)))
-    ids, weights, features = left["id"].to_numpy(dtype=object)[mine], left["w"].to_numpy(dtype=float)[mine], left_f[mine]
-    low = np.searchsorted(postings_f, features, side="left")
-    sizes = np.searchsorted(postings_f, features, side="right") - low
-    edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else []
-    out: dict[str, list] = {"id": [], "neighbour": [], "similarity": []}
-    for start, end in zip(edges, [*edges[1:], len(ids)], strict=True):
-        dots, met = np.zeros(len(names)), np.zeros(len(names), dtype=bool)
-        at = start
-        while at < end:
-            # So many features at once that their postings stay small.
-            upto = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:end]), POSTINGS, side="right")))
-            size = sizes[at:upto]
-            shift = low[at:upto] - np.concatenate([[0], np.cumsum(size)[:-1]])
-            entry = np.repeat(shift, size) + np.arange(size.sum())
-            dots += np.bincount(
-                postings_id[entry], np.repeat(weights[at:upto], size) * postings_w[entry], len(names)
-            )
-            met[postings_id[entry]] = True
-            at = upto
-        found = np.flatnonzero(met)
-        found = found[names[found] != ids[start]]
-        scores = np.round(dots[found], DIGITS)
-        best = np.argsort(-scores, kind="stable")[:k]
-        out["id"] += [ids[start]] * len(best)
-        out["neighbour"] += names[found[best]].tolist()
-        out["similarity"] += scores[best].tolist()
-    kinds = [pa.string(), pa.string(), pa.float64()]
-    return pa.table([pa.array(c, t) for c, t in zip(out.values(), kinds, strict=True)], names=list(out))
-
-
-def nearest(unit: DataFrame, k: int = 5, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """The k most similar other ids per id that share a feature with it: id, neighbour, similarity, rank.
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    asking = np.zeros(0, dtype=np.int64) if own else np.flatnonzero(right.asks)
+    # Where nobody on the right asks, only rows that ask are wanted.
+    chosen = np.arange(len(left.names)) if len(asking) else np.flatnonzero(left.asks)
+    for ids, sims in left.rows(right, chosen):
+        if own:
+            sims[np.arange(len(ids)), ids] = -1.0
+        rows = np.flatnonzero(left.asks[ids])
+        row, column = _row_best(sims[rows], k)
+        out.append((left.names[ids[rows[row]]], right.names[column], sims[rows[row], column]))
+        if len(asking):
+            columns = sims[:, asking].T
+            row, column = _row_best(columns, k)
+            out.append((right.names[asking[row]], left.names[ids[column]], columns[row, column]))
+    columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[], [], []]
+    kinds = {"id": pa.string(), "neighbour": pa.string(), "similarity": pa.float64()}
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+
+_FOUND = "id string, neighbour string, similarity double"
+
+
+def _met(blocks: DataFrame, k: int, pairs: int) -> DataFrame:
+    """What the pairs of blocks (i, j) find. ``blocks``: i, j, side (0 or 1), id, f, w, asks; i = j has side 0 alone.
+
+    A pair is little data and much work, so the pairs are dealt over as many tasks as there are, not by their bytes.
+    """
+
+    def step(block: pa.Table) -> pa.Table:
+        table = block.to_pandas()
+        features, _ = pd.factorize(table["f"], sort=True)
+        ids, weights, asks = table["id"].to_numpy(dtype=object), table["w"].to_numpy(dtype=float), table["asks"].to_numpy(dtype=bool)
+        second = table["side"].to_numpy() == 1
+        sides = [_Side(ids[x], features[x], weights[x], asks[x]) for x in (~second, second)]
+        own = bool(table["i"].iloc[0] == table["j"].iloc[0])
+        return _pair_best(sides[0], sides[0] if own else sides[1], k, own)
 
-    Exact, with ties by id. Ids are dealt into blocks of about ``block_ids`` by hash, and every block meets
-    every block in a task of its own, which passes on k rows for each of its ids. A feature that all ids
-    share is spread over all tasks like any other, and no pair of ids becomes a row.
+    return blocks.repartition(max(1, min(pairs, MOST_TASKS)), "i", "j").groupBy("i", "j").applyInArrow(step, _FOUND)
+
+
+def in_blocks(cells: DataFrame, block_cells: int) -> DataFrame:
+    """Ids with their block: about ``block_cells`` cells each, ids with the same heaviest feature together.
+
+    Ids with more cells than that have no block. Places are summed up inside ``PARTS`` parts, so only the parts' sizes pass
+    through one task.
     """
-    blocks = unit.agg(
-        F.greatest(F.lit(1), F.ceil(F.count_distinct("id") / F.lit(block_ids))).cast("int")
-    ).scalar()
-    cells = unit.withColumn("_blocks", blocks).withColumn(
-        "_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
-    )
-    dealt = cells.withColumn("_met", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    sides = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("_own").alias("i"), F.col("_met").alias("j")),
-        F.struct(F.lit(1).alias("side"), F.col("_met").alias("i"), F.col("_own").alias("j")),
-    )
-    both = dealt.select("id", "f", "w", F.explode(sides).alias("at")).select(
-        "at.i", "at.j", "at.side", F.col("id").cast("string"), F.col("f").cast("string"), "w"
+    sizes = cells.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.max_by("f", F.struct("w", "f")).alias("_lead"))
+    sizes = stored(sizes.withColumn("_part", F.pmod(F.xxhash64("_lead"), F.lit(PARTS))))
+    light = sizes.where(F.col("_n") <= block_cells)
+    parts = light.groupBy("_part").agg(F.sum("_n").alias("_size"))
+    starts = parts.select("_part", (F.sum("_size").over(W.orderBy("_part")) - F.col("_size")).alias("_start"))
+    inside = F.sum("_n").over(W.partitionBy("_part").orderBy("_lead", "id"))
+    block = F.floor((F.col("_start") + F.col("_inside") - F.col("_n")) / F.lit(block_cells)).cast("bigint")
+    placed = light.withColumn("_inside", inside).join(starts, "_part").select("id", block.alias("block"))
+    return placed.unionByName(sizes.where(F.col("_n") > block_cells).select("id", F.lit(None).cast("bigint").alias("block")))
+
+
+def heavy_pairs(cells: DataFrame) -> DataFrame:
+    """Similarities of the ids without a block with all ids, both ways. Each has more cells than a block, so they are few."""
+    heavy = cells.where(F.col("block").isNull()).select(F.col("id").alias("other"), "f", F.col("w").alias("_v"))
+    pairs = cells.join(heavy, "f").where(F.col("block").isNotNull() | (F.col("id") < F.col("other")))
+    sims = pairs.groupBy("id", "other").agg(F.round(F.sum(F.col("w") * F.col("_v")), DIGITS).alias("similarity"))
+    both = F.array(F.struct("id", F.col("other").alias("neighbour")), F.struct(F.col("other").alias("id"), F.col("id").alias("neighbour")))
+    return sims.select(F.explode(both).alias("p"), "similarity").select("p.id", "p.neighbour", "similarity")
+
+
+def asking(cells: DataFrame, floors: DataFrame) -> DataFrame:
+    """The blocks that each id still has to meet: those that may hold a closer id than its k-th so far.
+
+    The largest weight of every feature in a block bounds its similarities. An id's features are taken from the most
+    spread one on; as long as their largest weights anywhere stay under the k-th similarity together, blocks that share
+    only those can't matter, and are not even listed. Over the other features the block's own weights are added.
+    ``cells``: id, f, w, block; ``floors``: id and floor, the k-th similarity (0 with fewer).
+    """
+    tops = cells.groupBy("block", "f").agg(F.max("w").alias("_top"))
+    # One row for each feature, with an entry for each block.
+    spread = tops.groupBy("f").agg(
+        F.max("_top").alias("_most"), F.collect_list(F.struct(F.col("block").alias("other"), "_top")).alias("_tops")
     )
-    found = both.groupBy("i", "j").applyInArrow(
-        lambda block: _block_best(block, k), "id string, neighbour string, similarity double"
+    bounded = cells.join(spread, "f").join(floors, "id").withColumn("_up", F.col("w") * F.col("_most"))
+    order = W.partitionBy("id").orderBy(F.size("_tops").desc(), "f")
+    bounded = bounded.withColumn("_sum", F.sum("_up").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    skipped = F.col("_sum") < F.col("floor") - SLACK
+    rest = F.coalesce(F.max(F.when(skipped, F.col("_sum"))).over(W.partitionBy("id")), F.lit(0.0))
+    kept = bounded.withColumn("_rest", rest).where(~skipped).select("id", "block", "floor", "_rest", "w", F.explode("_tops").alias("_at"))
+    bound = (
+        kept.where(F.col("block") != F.col("_at.other"))
+        .groupBy("id", "block", F.col("_at.other").alias("other"), "floor", "_rest")
+        .agg(F.sum(F.col("w") * F.col("_at._top")).alias("_bound"))
     )
+    return bound.where(F.col("_bound") + F.col("_rest") >= F.col("floor") - SLACK).select("id", "block", "other")
+
+
+def block_pairs(asks: DataFrame) -> DataFrame:
+    """The pairs of blocks (i < j) that somebody asks for."""
+    return asks.select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).distinct()
+
+
+def nearest(unit: DataFrame, k: int = 5, block_cells: int = BLOCK_CELLS) -> DataFrame:
+    """The k most similar other ids per id that share a feature with it: id, neighbour, similarity, rank.
+
+    Exact, with ties by id; weights are positive. Ids lie in blocks of about ``block_cells`` cells. Every block first meets
+    itself, which gives each id a k-th similarity to beat. Bounds over blocks then tell which other blocks an id has to
+    meet; pairs of blocks that nobody asks for are not run, the others once, in a task of two blocks at most. Ids with more
+    cells than a block meet the others by a join on features.
+    """
+    cells = unit.select(F.col("id").cast("string").alias("id"), F.col("f").cast("string").alias("f"), F.col("w").cast("double").alias("w"))
+    blocks = stored(in_blocks(cells, block_cells))
+    placed = stored(cells.join(blocks, "id"))
+    homed = placed.where(F.col("block").isNotNull())
+    same = homed.select(F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"), "id", "f", "w", F.lit(True).alias("asks"))
+    last = blocks.agg(F.max("block").alias("last")).first()["last"]
+    found = inside = stored(_met(same, k, 1 if last is None else last + 1))
+    if not blocks.where(F.col("block").isNull()).isEmpty():
+        found = found.unionByName(heavy_pairs(placed))
+    lights = blocks.where(F.col("block").isNotNull())
+    if last:
+        # What an id has found in its own block is k rows at most.
+        kth = F.when(F.count(F.lit(1)) >= k, F.sort_array(F.collect_list("similarity"), asc=False)[k - 1])
+        floors = inside.groupBy("id").agg(kth.alias("floor"))
+        floors = lights.join(floors, "id", "left").select("id", F.coalesce("floor", F.lit(0.0)).alias("floor"))
+        asks = stored(asking(homed, floors))
+        pairs = stored(block_pairs(asks))
+        ends = pairs.select("i", "j", F.explode(F.array("i", "j")).alias("block"))
+        other = F.when(F.col("block") == F.col("i"), F.col("j")).otherwise(F.col("i"))
+        ids = lights.join(ends, "block").withColumn("other", other)
+        ids = ids.join(asks.select("id", "other", F.lit(True).alias("asks")), ["id", "other"], "left")
+        side = (F.col("block") == F.col("j")).cast("int").alias("side")
+        ids = ids.select("i", "j", side, "id", F.coalesce("asks", F.lit(False)).alias("asks"))
+        found = found.unionByName(_met(ids.join(placed, "id").select("i", "j", "side", "id", "f", "w", "asks"), k, pairs.count()))
     order = [F.col("similarity").desc(), F.col("neighbour")]
     return top_k_per_key(found, ["id"], order, k, "rank").select("id", "neighbour", "similarity", "rank")
 
 
-def customer_similarity(inter: DataFrame, neighbours: int = 5, block_ids: int = BLOCK_IDS) -> DataFrame:
+def customer_similarity(inter: DataFrame, neighbours: int = 5, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """The most similar other customers by cosine of scaled spend."""
     unit = unit_vectors(minmax_scaled(inter), "CustomerID", "StockCode", "Scaled")
-    return nearest(stored(unit), neighbours, block_ids).select(
+    return nearest(stored(unit), neighbours, block_cells).select(
         F.col("id").alias("CustomerID"),
         F.col("neighbour").alias("Neighbour"),
         F.col("similarity").alias("Similarity"),
@@ -150,10 +276,10 @@ def customer_similarity(inter: DataFrame, neighbours: int = 5, block_ids: int =
     )
 
 
-def product_similarity(inter: DataFrame, neighbours: int = 5, block_ids: int = BLOCK_IDS) -> DataFrame:
+def product_similarity(inter: DataFrame, neighbours: int = 5, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """The most similar other products by cosine of the scaled spend of their buyers."""
     unit = unit_vectors(minmax_scaled(inter), "StockCode", "CustomerID", "Scaled")
-    return nearest(stored(unit), neighbours, block_ids).select(
+    return nearest(stored(unit), neighbours, block_cells).select(
         F.col("id").alias("StockCode"),
         F.col("neighbour").alias("Neighbour"),
         F.col("similarity").alias("Similarity"),
@@ -182,11 +308,11 @@ def best_unseen(near: DataFrame, inter: DataFrame, k: int = 5) -> DataFrame:
 
 
 def neighbour_recommendations(
-    customer_sales: DataFrame, neighbours: int = 5, k: int = 5, block_ids: int = BLOCK_IDS
+    customer_sales: DataFrame, neighbours: int = 5, k: int = 5, block_cells: int = BLOCK_CELLS
 ) -> DataFrame:
     """The best unseen products per customer, weighted by similarity and the neighbours' spend."""
     inter = spend_matrix(customer_sales)
-    near = stored(customer_similarity(inter, neighbours, block_ids))
+    near = stored(customer_similarity(inter, neighbours, block_cells))
     best = best_unseen(near, inter, k)
     info = product_info(customer_sales).select("StockCode", "Description", "AveragePrice")
     return best.join(info, "StockCode").select(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketloom.functions.keys import dense_ids, hash_position, train_test_split
-from marketloom.functions.quantiles import exact_quantiles
+from marketloom.functions.quantiles import column_quantiles, exact_quantiles
 
 PROBS = [0.0, 0.2, 0.25, 0.5, 0.8, 0.99, 1.0]
 
@@ -60,3 +60,29 @@ def test_split_is_repeatable_and_close_to_its_share(spark):
     moved = train_test_split(df.repartition(7), ["id"])[0]
     assert moved.exceptAll(train).count() == 0
     assert df.agg(F.min(hash_position(["id"]))).first()[0] >= 0
+
+
+@pytest.mark.parametrize("buckets", [2, 16, 256])
+def test_columns_at_once_equal_numpy(spark, buckets):
+    rng = np.random.default_rng(3)
+    columns = {
+        "a": rng.lognormal(3, 2, 900).round(2).tolist(),
+        "b": [5.0] * 600 + rng.normal(5, 1, 300).tolist(),
+        "c": [None if i % 3 else float(i) for i in range(900)],
+        "d": [None] * 900,
+        "e": [None] * 899 + [2.5],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    probs = [0.0, 0.2, 0.4, 0.505, 0.8, 1.0]
+    found = spark.range(1).select(column_quantiles(df, list(columns), probs, buckets).alias("q")).first()["q"]
+    for name, values in columns.items():
+        kept = [v for v in values if v is not None]
+        wanted = np.quantile(kept, probs).tolist() if kept else [None] * len(probs)
+        assert found[name] == pytest.approx(wanted), name
+
+
+def test_quintile_scores_shuffle_nothing_by_metric(spark, sample_dir):
+    from marketloom.plans.catalog import all_queries
+
+    plan = all_queries()["rfm_quintile"](spark, sample_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(Metric" not in plan and "Join" not in plan

@@ -64,7 +64,7 @@ def _random_cells(seed, ids, features, hot, copies=0):
 
 @pytest.mark.parametrize(
     ("seed", "hot", "copies", "limit"),
-    [(1, 0, 0, 4096), (2, 1, 0, 8), (3, 1, 30, 30), (4, 3, 0, 20), (5, 3, 30, 8), (6, 2, 40, 45)],
+    [(1, 0, 0, 4096), (2, 1, 0, 8), (3, 1, 30, 30), (4, 3, 0, 20), (5, 3, 30, 8), (6, 2, 40, 3), (7, 3, 0, 4), (8, 2, 40, 1)],
 )
 @pytest.mark.parametrize("k", [1, 5])
 def test_nearest_equals_brute_force(spark, seed, hot, copies, limit, k):
@@ -85,6 +85,45 @@ def test_similarity_is_symmetric_and_in_range(spark):
     assert all(scores[(b, a)] == s for (a, b), s in scores.items())
 
 
+def _in_groups(groups, size):
+    """Ids that share features within their group, and one feature with everybody, of little weight."""
+    rng = random.Random(11)
+    cells = {}
+    for g in range(groups):
+        for i in range(size):
+            row = {f"g{g:02d}_{f}": rng.randint(5, 9) / 1.0 for f in rng.sample(range(8), 5)}
+            cells[f"c{g:02d}_{i:02d}"] = {**row, f"g{g:02d}": 20.0, "all": 0.5}
+    return _unit(cells)
+
+
+def test_block_pairs_under_the_bound_are_not_run(spark):
+    vectors = _in_groups(groups=12, size=20)
+    k, limit = 3, 60
+    found = _found(spark, vectors, k, limit)
+    wanted = _brute(vectors, k)
+    assert {a: [b for b, _ in row] for a, row in found.items()} == {a: [b for b, _ in row] for a, row in wanted.items()}
+
+    rows = [(a, f, w) for a, row in vectors.items() for f, w in row.items()]
+    cells = spark.createDataFrame(rows, "id STRING, f STRING, w DOUBLE")
+    homed = cells.join(similarity.in_blocks(cells, limit), "id")
+    floors = spark.createDataFrame([(a, row[-1][1]) for a, row in wanted.items()], "id STRING, floor DOUBLE")
+    blocks = homed.select("block").distinct().count()
+    run = similarity.block_pairs(similarity.asking(homed, floors)).count()
+    assert blocks > 20 and 0 < run < blocks * (blocks - 1) / 2 / 4
+
+
+def test_no_block_has_more_than_its_cells_and_one_id(spark):
+    vectors = _random_cells(3, 200, 40, 3, copies=50)
+    rows = [(a, f, w) for a, row in vectors.items() for f, w in row.items()]
+    rows += [("huge", f"f{i}", 1.0) for i in range(40)]
+    cells = spark.createDataFrame(rows, "id STRING, f STRING, w DOUBLE")
+    placed = similarity.in_blocks(cells, 25)
+    sizes = {r["block"]: r["count"] for r in cells.join(placed, "id").groupBy("block").count().collect()}
+    longest = max(len(row) for row in vectors.values())
+    assert placed.count() == len(vectors) + 1 and sizes.pop(None) == 40
+    assert max(sizes.values()) <= 25 + longest and len(sizes) <= -(-len(rows) // 25)
+
+
 def test_identical_customers_are_neighbours_of_each_other(spark, make_lines):
     lines = make_lines(
         ("1", "A", 2, 5, "u", "2011-01-01"),
@@ -135,11 +174,11 @@ def test_recommendations_are_unseen_and_named_once(spark, make_lines):
     assert to_u[0]["AveragePrice"] == pytest.approx(5.0)
 
 
-@pytest.mark.parametrize("block_ids", [4, 4096])
-def test_ties_within_rounding_go_by_id(spark, block_ids):
+@pytest.mark.parametrize("block_cells", [4, 4096])
+def test_ties_within_rounding_go_by_id(spark, block_cells):
     """Similarities that differ behind the reported digits are equal, however the ids are dealt."""
     vectors = {f"c{i:02d}": {"x": 0.5 + i * 1e-11} for i in range(20)}
-    found = _found(spark, vectors, 2, block_ids)
+    found = _found(spark, vectors, 2, block_cells)
     assert [b for b, _ in found["c00"]] == ["c01", "c02"]
     assert [b for b, _ in found["c19"]] == ["c00", "c01"]
 
