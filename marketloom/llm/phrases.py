@@ -3,8 +3,8 @@
 Texts have A-Z in lower case and are cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those at blanks and tabs into words;
 a phrase is a run of words inside a piece. Everything is kept apart by language (null: ``und``).
 
-* **Sample.** One document in ``SAMPLE`` by a hash of its id is mined level by level, with a threshold lowered by two
-  standard deviations. The phrases found frequent there are the proposals.
+* **Sample.** One document in ``SAMPLE`` by a hash of its id is mined level by level, with a threshold lowered by one
+  standard deviation. The phrases found frequent there are the proposals.
 * **Full pass.** Every single word is counted, and every longer phrase whose first words and whose last words (all but one)
   are both proposed: these are the proposals and their negative border, as far as it occurs. Proposals, and phrases of the
   greatest length, are counted by their words. The border is far larger and hardly ever frequent, so it is counted by 64-bit
@@ -54,7 +54,7 @@ BEST = 2000
 SAMPLE = 8
 KEPT_PERCENT = 100
 #: Words that are counted together before they are passed on.
-SECTION = 1 << 21
+SECTION = 1 << 22
 #: Bytes of a text that are divided into words at once.
 CHUNK = 1 << 20
 
@@ -299,7 +299,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     texts = rows.select("lang", "data")
     drawn = F.pmod(F.xxhash64(F.lit(5), F.coalesce("id", F.lit("")), F.when(F.col("id").isNull(), F.col("data"))), F.lit(sample)) == 0
     expected = least / sample
-    lowered = max(1, math.floor(expected - 2 * math.sqrt(expected)))
+    lowered = max(1, math.floor(expected - math.sqrt(expected)))
     proposed = sampled_phrases(rows.where(drawn).select("lang", "data"), lowered, longest)
 
     lengths = tuple(range(1, longest + 1))
