@@ -23,7 +23,7 @@ from marketloom.functions.columns import (
 from marketloom.functions.keys import hash_position, train_test_split
 from marketloom.functions.quantiles import column_quantiles
 from marketloom.operators.cleaning import cut_date, fill_missing
-from marketloom.session import stored
+from marketloom.session import for_iterations, stored
 
 # The feature lists of the two models.
 RF_FEATURES = ["TotalTransactions", "TotalSpent", "AvgOrderValue", "CustomerLifetime"]
@@ -279,12 +279,16 @@ def churn_gbt(
     sample: float = 0.8,
     seed: int = 42,
 ) -> ChurnModel:
-    """Boosted trees with the positive class weighted by the class ratio."""
+    """Boosted trees with the positive class weighted by the class ratio.
+
+    Rows are binned once and held in executor storage by the fit; a round is some jobs over them, one for each level of
+    its tree, so few rows are few tasks.
+    """
     data = stored(fill_missing(features, *GBT_FEATURES))
     train, test = stratified_split(data, "Churned", ["CustomerID"], 0.8, seed)
     share = train.agg(F.avg("Churned").alias("p")).scalar()
     weight = F.when(F.col("Churned") == 1, F.coalesce(F.try_divide(1 - share, share), F.lit(1.0)))
-    train = train.withColumn("_weight", weight.otherwise(F.lit(1.0)))
+    train = for_iterations(train.withColumn("_weight", weight.otherwise(F.lit(1.0))))
     stages = [
         VectorAssembler(inputCols=GBT_FEATURES, outputCol="vector"),
         GBTClassifier(

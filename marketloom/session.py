@@ -69,6 +69,14 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def for_iterations(df: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
+    """Stored rows in tasks of at least about that many, for fits that run hundreds of short jobs over them.
+
+    Such a job takes as long as starting its tasks where rows are few; where there are many, the tasks stay as they are.
+    """
+    return df.coalesce(max(1, -(-df.count() // rows_per_task)))
+
+
 def drop_stored(spark: SparkSession) -> None:
     """Delete what ``stored`` wrote; call it when the results built on it have been read."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
