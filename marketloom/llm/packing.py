@@ -165,18 +165,19 @@ class TextTokenizer:
 
     With ``ranks_path``, texts of Latin script are encoded from the vocabulary's merge ranks, which give the
     same ids in a third of the time; for other scripts and unusual white space the two libraries' character
-    classes might differ, so those go to the tokenizer itself.
+    classes might differ, so those go to the tokenizer itself, as do texts that hold the name of a special token, which
+    is that token there.
     """
 
     def __init__(self, path: str, ranks_path: str | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.quick = ranked_encoding(ranks_path) if ranks_path else None
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        slow = [self.quick is None or bool(_NOT_LATIN.search(t)) for t in texts]
+        slow = [self.quick is None or bool(_NOT_LATIN.search(t)) or any(s in t for s in self.special) for t in texts]
         found = self.tokenizer.encode_batch_fast([t for t, s in zip(texts, slow, strict=True) if s], add_special_tokens=False)
         rest = iter([np.array(e.ids, dtype="<u4").tobytes() for e in found])
         return [

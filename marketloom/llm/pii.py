@@ -78,7 +78,7 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return spans
     for m in _IP.finditer(text):
-        if all(len(g.lstrip("0")) < 3 or (len(g.lstrip("0")) == 3 and int(g) <= 255) for g in m.groups()):
+        if all(len(g.lstrip("0")) < 3 or (len(g.lstrip("0")) == 3 and int(g.lstrip("0")) <= 255) for g in m.groups()):
             spans.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:

@@ -44,6 +44,19 @@ def test_quick_ids_are_the_tokenizers_ids(corpus):
     assert packing.TextTokenizer(path, ranks).ids(texts) == packing.TextTokenizer(path).ids(texts)
 
 
+def test_names_of_special_tokens_are_those_tokens():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endof text|>", "<|endoftext", "é <|endoftext|>"]
+    path, ranks = packing.default_tokenizer()
+    plain = Tokenizer.from_file(path)
+    for quick in (None, ranks):
+        found = packing.TextTokenizer(path, quick).ids(texts)
+        for text, ids in zip(texts, found, strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert 50256 in plain.encode(texts[0], add_special_tokens=False).ids
+
+
 def test_pieces_and_places(spark, make_docs, corpus):
     rows = corpus + [corpus[0]]
     docs = make_docs(rows).withColumnRenamed("lang", "sequence_id")

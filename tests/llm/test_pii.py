@@ -41,6 +41,12 @@ def test_base_patterns_on_numbers():
         assert pii.base_spans(text) == plain(text)
 
 
+def test_very_long_parts_of_an_address():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"{zeros}255.1.2.3") == [("ip", 0, 5009)]
+    assert not [x for x in pii.base_spans(f"{zeros}256.1.2.3 {'9' * 5000}.1.1.1") if x[0] == "ip"]
+
+
 def test_lattice_sums_over_all_segmentations():
     text = "call +1 476 555 6291 190.137.223.204 now"
     field = pii.SemiMarkovField({"phone": 0.3, "ip": 0.7, "card": -0.2, "phone n=11": 0.4})
