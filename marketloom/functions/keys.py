@@ -34,8 +34,13 @@ def dense_ids(df: DataFrame, column: str, id_column: str, buckets: int = 1024) -
 
 
 def hash_position(columns: Sequence[str], seed: int = 42) -> Column:
-    """A repeatable number in 0..2^31-1 per row that depends on the key columns alone."""
-    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(2**31))
+    """A repeatable number in 0..2^31-1 per row that depends on the key columns alone.
+
+    It comes from the MD5 of seed and keys as text, which other engines compute alike; null keys count as empty.
+    """
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *keys).cast("binary"))
+    return F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), 1)
 
 
 def train_test_split(

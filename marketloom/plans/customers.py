@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from marketloom.functions.keys import train_test_split
 from marketloom.operators import churn, cleaning, features, marts, reports, rfm
 from marketloom.plans.catalog import add, rounded
+from marketloom.session import stored
 
 RFM_COLUMNS = """CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary, R_Score, F_Score, M_Score,
               RFM_Score, RFM_Segment, Churn_Risk"""
@@ -112,6 +116,27 @@ def _churn_features(t):
     return churn.churn_features(t.customer_sales, home="NATION_0")
 
 
+def _parts(train, test):
+    """Both parts of a split as one table."""
+    named = [rows.select("CustomerID", F.lit(name).alias("Part")) for rows, name in ((train, "train"), (test, "test"))]
+    return named[0].unionByName(named[1])
+
+
+#: Where a customer stands in a split, as ``hash_position`` has it.
+_POSITION = "CAST('0x' || SUBSTR(MD5('42|' || CustomerID), 1, 8) AS BIGINT) >> 1"
+
+add(
+    "train_test_split",
+    lambda t: _parts(*train_test_split(_churn_features(t), ["CustomerID"], 0.8)),
+    f"SELECT CustomerID, CASE WHEN ({_POSITION}) < {int(0.8 * 2**31)} THEN 'train' ELSE 'test' END AS Part FROM churn_features",
+)
+add(
+    "stratified_split",
+    lambda t: _parts(*churn.stratified_split(stored(_churn_features(t)), "Churned", ["CustomerID"], 0.8)),
+    f"""SELECT CustomerID, CASE WHEN place < cut THEN 'train' ELSE 'test' END AS Part
+        FROM (SELECT CustomerID, place, QUANTILE_CONT(place, 0.8) OVER (PARTITION BY Churned) AS cut
+              FROM (SELECT CustomerID, Churned, CAST({_POSITION} AS DOUBLE) AS place FROM churn_features))""",
+)
 add(
     "churn_features",
     lambda t: rounded(_churn_features(t), 4, "PurchaseVariability"),
