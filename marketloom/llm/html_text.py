@@ -20,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,7 +43,11 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
-HIDDEN = frozenset("script style template noscript title textarea svg math iframe object select".split())
+HIDDEN = frozenset("script style template noscript title textarea svg iframe select".split())
+# Elements whose text is part of the line around them (MathML), and those that a slash can close.
+MATHS = frozenset("math mrow mi mo mn mtext ms mspace msup msub msubsup mfrac msqrt mroot mstyle mover munder munderover semantics".split())
+CLOSED_BY_SLASH = MATHS | {"svg"}
+IN_LINE = INLINE | MATHS
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z|(?=<))|<[!?][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -67,13 +72,14 @@ def leaf_blocks(page: str) -> list[Block]:
     parts: list[str] = []
     names: frozenset[str] = frozenset()
     linked = links = 0
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                tag = next((t for t, _ in reversed(stack) if t not in INLINE), "")
+                tag = next((t for t, _ in reversed(stack) if t not in IN_LINE), "")
                 blocks.append(Block("".join(parts), names, tag, linked, text))
             parts.clear()
         linked = 0
@@ -93,33 +99,38 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in CLOSED_BY_SLASH and (found.group(3) or "").endswith("/"):
+            continue
         if tag in HIDDEN and not found.group(1):
-            if tag not in INLINE:
+            if tag not in IN_LINE:
                 flush()
             close = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
             at = close.end() if close else size
             continue
-        if tag not in INLINE:
+        if tag not in IN_LINE:
             flush()
         elif tag == "br":
             parts.append(" ")
         if found.group(1):
-            if any(t == tag for t, _ in stack):
+            if opened[tag]:
                 while stack:
                     open_tag, _ = stack.pop()
+                    opened[open_tag] -= 1
                     links -= open_tag == "a"
                     if open_tag == tag:
                         break
                 names = stack[-1][1] if stack else frozenset()
         elif tag not in VOID:
-            own = set() if tag in INLINE else {tag}
+            own = set() if tag in IN_LINE else {tag}
             for m in _NAMES.finditer(found.group(3) or ""):
                 own.update("." + w for w in _WORD.findall((m.group(1) or m.group(2) or m.group(3) or "").lower()))
             if tag == "p" and stack and stack[-1][0] == "p":
                 stack.pop()
+                opened["p"] -= 1
             parent = stack[-1][1] if stack else frozenset()
             names = parent if own <= parent else parent | own
             stack.append((tag, names))
+            opened[tag] += 1
             links += tag == "a"
     flush()
     return blocks

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import time
 
 from marketloom.llm import html_text
 
@@ -56,3 +57,15 @@ def test_edges(spark):
     texts = sorted((r.page_id, r.text, r.n_chars) for r in out.collect())
     assert texts[0] == (1, "", 0) and texts[1] == (2, "", 0) and texts[2] == texts[3] == (3, "Head\ncut off &am", 16)
     assert html_text.extract(pages.limit(0), html_text.learn(pages.limit(0))).count() == 0
+
+
+def test_blocks_behind_elements_closed_by_a_slash():
+    page = '<p>x <svg width="3"/> tail <math/>end</p><p>b <math><mi>y</mi><mo>=</mo><mn>2</mn></math> c</p><p><svg><title>t</title></svg>d</p>'
+    assert [b.text for b in html_text.leaf_blocks(page)] == ["x tail end", "b y=2 c", "d"]
+
+
+def test_unmatched_end_tags_take_time_in_proportion():
+    """20,000 open and unmatched tags are far beyond what rescanning the open ones could do in this time."""
+    start = time.perf_counter()
+    assert [b.text for b in html_text.leaf_blocks("<b>x</i>" * 20_000)] == ["x" * 20_000]
+    assert time.perf_counter() - start < 5
