@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -408,8 +410,10 @@ def all_spans(text: str, field: SemiMarkovField) -> list[tuple[str, int, int, bo
     base = base_spans(text)
     added = []
     taken = sorted((a, b) for _, a, b in base)
+    starts = [a for a, _ in taken]
+    reach = [-1, *accumulate((b for _, b in taken), max)]  # furthest end of the spans up to each
     for kind, a, b in field.decode(text):
-        if not any(x < b and a < y for x, y in taken):
+        if reach[bisect_left(starts, b)] <= a:
             added.append((kind, a, b, False))
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted([(*s, True) for s in base] + added, key=lambda s: (order[s[0]], s[1], s[2]))
