@@ -5,6 +5,8 @@ A key is an unsigned 64-bit hash; it has one block of 256 bits and one bit in ea
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,22 +37,30 @@ def filter_rows(keys: DataFrame, key: str, blocks: int) -> DataFrame:
     return lanes.groupBy("block").agg(*[F.expr(f"bit_or(shiftleft(1L, b{i}))").alias(f"lane{i}") for i in range(LANES)])
 
 
-def may_hold(rows: DataFrame, key: Column, filtered: DataFrame, blocks: int) -> DataFrame:
-    """The rows with a boolean ``_may``: whether the filter may hold the key. The filter's size is bounded."""
-    small = F.broadcast(filtered.withColumnRenamed("block", "_block"))
-    joined = rows.withColumn("_key", key).join(small, _block(F.col("_key"), blocks) == F.col("_block"), "left")
-    may = F.col("_block").isNotNull()
-    for i in range(LANES):
-        may = may & (F.call_function("shiftrightunsigned", F.col(f"lane{i}"), _bit(F.col("_key"), i)).bitwiseAND(F.lit(1)) == 1)
-    return joined.withColumn("_may", F.coalesce(may, F.lit(False))).drop("_key", "_block", *[f"lane{i}" for i in range(LANES)])
+def may_hold(rows: DataFrame, key: Column, filtered: DataFrame, blocks: int, flag: str = "_may") -> DataFrame:
+    """The rows with a boolean ``flag``: whether the filter may hold the key. The filter's size is bounded.
+
+    The rows may have columns of any other name.
+    """
+    own = uuid.uuid4().hex
+    lanes = [f"lane{i}_{own}" for i in range(LANES)]
+    small = filtered.select(F.col("block").alias(f"block_{own}"), *[F.col(f"lane{i}").alias(n) for i, n in enumerate(lanes)])
+    keyed = rows.withColumn(f"key_{own}", key)
+    joined = keyed.join(F.broadcast(small), _block(F.col(f"key_{own}"), blocks) == F.col(f"block_{own}"), "left")
+    may = F.col(f"block_{own}").isNotNull()
+    for i, lane in enumerate(lanes):
+        bit = _bit(F.col(f"key_{own}"), i)
+        may = may & (F.call_function("shiftrightunsigned", F.col(lane), bit).bitwiseAND(F.lit(1)) == 1)
+    return joined.withColumn(flag, F.coalesce(may, F.lit(False))).drop(f"key_{own}", f"block_{own}", *lanes)
 
 
 def split_by_ids(docs: DataFrame, ids: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
     """Documents whose ``doc_id`` may be among ``ids`` and those for which it certainly is not."""
     blocks = blocks_for(count)
     filtered = filter_rows(ids.select(F.xxhash64("doc_id").alias("key")), "key", blocks)
-    marked = may_hold(docs, F.xxhash64("doc_id"), filtered, blocks)
-    return marked.where("_may").drop("_may"), marked.where("NOT _may").drop("_may")
+    flag = f"may_{uuid.uuid4().hex}"
+    marked = may_hold(docs, F.xxhash64("doc_id"), filtered, blocks, flag)
+    return marked.where(flag).drop(flag), marked.where(~F.col(flag)).drop(flag)
 
 
 class Filter:
