@@ -4,14 +4,21 @@ Benchmark items are cut into overlapping windows of ``WINDOW`` bytes. A stretch
 edits of a window shares at least ``WINDOW - Q + 1 - EDITS * Q`` of its q-grams with it (the q-gram lemma), all in
 diagonals (place in the document less place in the item) that differ by ``EDITS`` at most. Shared q-grams are
 counted per window in overlapping bands of diagonals; bands that reach the bound are aligned with the
-window, and the match stands if its edit distance is within the budget.
+window, and the match stands if its edit distance is within the budget. Equal windows are one.
+
+Text that repeats a few bytes over and over (rules, separators) would share a place with every place. A q-gram that a
+window has several times is one entry with its first and last place and its number, which can only make a
+count too high; and where a document has far more hits than places, stretches of one period are
+shortened by whole periods before the search and the matches found there stretched again.
 
 Texts are compared in lower case (A-Z) with white space runs as one space. Items go to every task in
 shards of ``SHARD_BYTES`` at most, one pass over the documents each, so what is sent is bounded however
 many items there are.
 
-Defined cases: null or empty texts match nothing; items shorter than ``LEAST_ITEM`` bytes are left out, as they
-match by chance; items shorter than a window are one window with a budget in proportion; repeated items are
+Items shorter than ``LEAST_ITEM`` bytes are looked for as they are, without edits, and only between bytes that are no
+letters or digits. They match by chance, so ``clean_documents`` doesn't drop a document for one alone.
+
+Defined cases: null or empty texts and items match nothing; longer items shorter than a window are one window with a budget in proportion; repeated items are
 found each; repeated documents are returned each; no items or documents gives no rows.
 """
 
@@ -19,7 +26,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +44,11 @@ LEAST_ITEM = 40
 SHARD_BYTES = 4 << 20
 #: Places of a document whose hits are held at once.
 SEGMENT = 1 << 16
+#: Periods of stretches that can be shortened, and what stays at both of their ends.
+PERIODS = range(1, 17)
+EDGE = 2 * WINDOW
+#: Hits for each place of a document from which on stretches are looked for.
+CROWDED = 4
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -67,99 +81,176 @@ def budget(length: int) -> int:
     return max(0, min(length * EDITS // WINDOW, (length - Q) // Q))
 
 
+@dataclass
+class Shortened:
+    """A text without the middles of its stretches of one period, and the way back to its places."""
+
+    text: np.ndarray
+    cuts: np.ndarray  # places in the short text where bytes were taken out
+    taken: np.ndarray  # bytes taken out up to and with each cut
+
+    def back(self, start: int, end: int) -> tuple[int, int]:
+        """A stretch in the whole text; one around a cut covers what was taken out there."""
+        before, upto = np.searchsorted(self.cuts, [start, end - 1], side="right").tolist()
+        return start + (int(self.taken[before - 1]) if before else 0), end + (int(self.taken[upto - 1]) if upto else 0)
+
+
+def shortened(text: np.ndarray) -> Shortened:
+    """Stretches of one period keep ``EDGE`` bytes at both ends; whole periods go from between.
+
+    What matches a window inside such a stretch matches it a period further on too, so the places taken out
+    hold only matches that those around the cut stand for.
+    """
+    n = len(text)
+    gone = np.zeros(n, dtype=bool)
+    for p in PERIODS:
+        if n <= 2 * EDGE + 2 * p:
+            break
+        same = np.concatenate([[False], text[p:] == text[:-p], [False]])
+        turns = np.flatnonzero(same[1:] != same[:-1])
+        for a, b in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True):
+            # Bytes a to b + p repeat with period p.
+            drop = (b + p - a - 2 * EDGE) // p * p
+            if drop > 0 and not gone[a : b + p].any():
+                gone[a + EDGE : a + EDGE + drop] = True
+    kept = np.flatnonzero(~gone)
+    cuts = np.flatnonzero(np.diff(kept, prepend=-1) > 1)
+    return Shortened(text[kept], cuts, kept[cuts] - cuts)
+
+
 @dataclass
 class Index:
     """The q-grams of the windows of some items."""
 
     items: list[tuple[int, np.ndarray]]
-    windows: np.ndarray  # item number, start, length, budget
-    keys: np.ndarray  # sorted q-grams
-    window: np.ndarray  # window of each
-    place: np.ndarray  # place of each in its item
+    contents: list[np.ndarray]  # the windows' bytes
+    owners: list[list[tuple[int, int]]]  # item number and start of each place of a window
+    shape: np.ndarray  # length and budget of each window
+    keys: np.ndarray  # sorted q-grams, one entry for each window that has it
+    window: np.ndarray  # window of each entry
+    first: np.ndarray  # first and last place of the q-gram in the window, and its number of places
+    last: np.ndarray
+    times: np.ndarray
     bits: np.ndarray  # 2^20 flags of the keys' low bits, to pass most places over
+    short: list[tuple[int, bytes]]  # items looked for as they are
 
     @classmethod
     def of(cls, rows: list[tuple[int, bytes]]) -> Index:
-        items = [(i, normal(data)[0]) for i, data in rows]
-        items = [(i, text) for i, text in items if len(text) >= LEAST_ITEM]
-        windows, keys, window, place = [], [np.zeros(0, dtype=np.uint64)], [], []
-        for number, (_, text) in enumerate(items):
-            grams = qgrams(text)
+        texts = [(i, normal(data)[0]) for i, data in rows]
+        items = [(i, text) for i, text in texts if len(text) >= LEAST_ITEM]
+        short = [(i, text.tobytes().strip()) for i, text in texts if len(text) < LEAST_ITEM]
+        number: dict[bytes, int] = {}
+        contents, owners, shape = [], [], []
+        parts: list[tuple[np.ndarray, ...]] = [tuple(np.zeros(0, dtype=np.int64) for _ in range(5))]
+        for item, (_, text) in enumerate(items):
             length = min(WINDOW, len(text))
             starts = list(range(0, len(text) - length + 1, WINDOW // 2))
             if starts[-1] != len(text) - length:
                 starts.append(len(text) - length)
             for start in starts:
-                inside = np.arange(start, start + length - Q + 1)
-                keys.append(grams[inside])
-                place.append(inside)
-                window.append(np.full(len(inside), len(windows)))
-                windows.append((number, start, length, budget(length)))
-        joined = np.concatenate(keys)
-        order = np.argsort(joined, kind="stable")
+                content = text[start : start + length]
+                window = number.setdefault(content.tobytes(), len(contents))
+                if window < len(contents):
+                    owners[window].append((item, start))
+                    continue
+                contents.append(content)
+                owners.append([(item, start)])
+                shape.append((length, budget(length)))
+                grams = qgrams(content)
+                order = np.argsort(grams, kind="stable")
+                edges = np.flatnonzero(run_starts(grams[order]))
+                ends = np.concatenate([edges[1:], [len(order)]])
+                parts.append((grams[order][edges].view(np.int64), np.full(len(edges), window), order[edges], order[ends - 1], ends - edges))
+        keys, window, first, last, times = (np.concatenate(c) for c in zip(*parts, strict=True))
+        keys = keys.view(np.uint64)
+        order = np.argsort(keys, kind="stable")
         bits = np.zeros(1 << 20, dtype=bool)
-        bits[(joined & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        flat = [np.concatenate([*c, np.zeros(0, dtype=np.int64)]).astype(np.int64)[order] for c in (window, place)]
-        return cls(items, np.array(windows, dtype=np.int64).reshape(-1, 4), joined[order], *flat, bits)
-
-    def candidates(self, text: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(window, lowest diagonal) of the bands that reach the window's bound."""
-        grams = qgrams(text)
+        bits[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        rest = (c[order] for c in (keys, window, first, last, times))
+        return cls(items, contents, owners, np.array(shape, dtype=np.int64).reshape(-1, 2), *rest, bits, [s for s in short if s[1]])
+
+    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places whose q-gram some window has, the first entry of each and the number of entries."""
+        at = np.flatnonzero(self.bits[(grams & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        low = np.searchsorted(self.keys, grams[at], side="left")
+        sizes = np.searchsorted(self.keys, grams[at], side="right") - low
+        return at[sizes > 0], low[sizes > 0], sizes[sizes > 0]
+
+    def candidates(self, places: np.ndarray, lows: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(window, lowest diagonal) of the bands that reach the window's bound, from what ``hits`` gives."""
         seen: set[tuple[int, int]] = set()
-        overlap = 2 * WINDOW
-        for start in range(0, len(grams), SEGMENT):
-            part = grams[start : start + SEGMENT + overlap]
-            at = np.flatnonzero(self.bits[(part & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            if not len(at):
-                continue
-            low = np.searchsorted(self.keys, part[at], side="left")
-            high = np.searchsorted(self.keys, part[at], side="right")
-            sizes = high - low
+        for start in range(0, int(places[-1]) + 1 if len(places) else 0, SEGMENT):
+            part = slice(*np.searchsorted(places, [start, start + SEGMENT + EDGE]))
+            at, low, sizes = places[part], lows[part], numbers[part]
             total = int(sizes.sum())
             if not total:
                 continue
             entry = np.repeat(low - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(total)
-            window, place = self.window[entry], self.place[entry]
-            diagonal = np.repeat(at + start, sizes) - place
-            step = self.windows[window, 3] + 1
-            band = diagonal // step
+            place = np.repeat(at, sizes)
             # Each diagonal lies in two bands of twice the step, so every run of budget + 1 diagonals lies in one.
-            window, band, place = (np.concatenate(c) for c in ((window, window), (band, band - 1), (place, place)))
-            order = np.lexsort((place, band, window))
-            window, band, place = window[order], band[order], place[order]
-            # A q-gram of the window counts once, however often the document has it there.
-            once = run_starts(window) | run_starts(band) | run_starts(place)
-            window, band = window[once], band[once]
-            edges = np.flatnonzero(np.concatenate([[True], (window[1:] != window[:-1]) | (band[1:] != band[:-1])]))
-            counts = np.diff(np.concatenate([edges, [len(window)]]))
-            shape = self.windows[window[edges]]
-            enough = counts >= shape[:, 2] - Q + 1 - shape[:, 3] * Q
+            step = self.shape[self.window[entry], 1] + 1
+            lowest = (place - self.last[entry]) // step - 1
+            bands = (place - self.first[entry]) // step - lowest + 1
+            entry = np.repeat(entry, bands)
+            band = np.repeat(lowest - np.concatenate([[0], np.cumsum(bands)[:-1]]), bands) + np.arange(len(entry))
+            # A q-gram of the window counts once a band, however often the document has it there.
+            base = int(band.min())
+            spread = int(band.max()) - base + 1
+            entry, band = np.divmod(np.unique(entry * spread + (band - base)), spread)
+            window = self.window[entry]
+            order = np.argsort(window * spread + band, kind="stable")
+            window, band, times = window[order], band[order] + base, self.times[entry[order]]
+            edges = np.flatnonzero(run_starts(window) | run_starts(band))
+            counts = np.add.reduceat(times, edges)
+            shape = self.shape[window[edges]]
+            enough = counts >= shape[:, 0] - Q + 1 - shape[:, 1] * Q
             for w, b in zip(window[edges][enough].tolist(), band[edges][enough].tolist(), strict=True):
                 if (w, b) not in seen:
                     seen.add((w, b))
-                    yield w, b * (int(self.windows[w, 3]) + 1)
+                    yield w, b * (int(self.shape[w, 1]) + 1)
+
+    def short_matches(self, whole: bytes) -> Iterator[tuple[int, int, int, int]]:
+        """(item_id, start, end, length) of the short items, found where they stand alone."""
+        if not self.short:
+            return
+        finder = _finder(tuple(self.short))
+        for end, found in finder.iter(whole.decode("latin-1")):
+            for item, length in found:
+                start = end + 1 - length
+                if not (_joins(whole, start - 1, start) or _joins(whole, end, end + 1)):
+                    yield item, start, end + 1, length
 
     def matches(self, data: bytes) -> list[tuple[int, int, int, int, int, int]]:
         """(item_id, start and end in the bytes of the text, start and end in the normal item, edits), merged by item."""
-        text, at = normal(data)
-        if len(text) < Q:
-            return []
+        full, at = normal(data)
+        out = [(item, int(at[a]), int(at[b - 1]) + 1, 0, n, 0) for item, a, b, n in self.short_matches(full.tobytes())]
+        if len(full) < Q or not len(self.keys):
+            return sorted(out)
+        text, short = full, None
+        hits = self.hits(qgrams(full))
+        if not len(hits[0]):
+            return sorted(out)
+        if int(hits[2].sum()) > CROWDED * len(full):
+            short = shortened(full)
+            text = short.text
+            hits = self.hits(qgrams(text))
         found: dict[int, list[tuple[int, int, int, int, int]]] = {}
         whole = text.tobytes()
         known: set[tuple[int, int]] = set()
-        for w, low in self.candidates(text):
-            number, start, length, most = self.windows[w].tolist()
-            pattern, first = self.items[number][1][start : start + length], start + low
+        for w, low in self.candidates(*hits):
+            pattern, most = self.contents[w], int(self.shape[w, 1])
+            length = len(pattern)
             # The two bands a match lies in overlap; an exact match needs no alignment.
-            if any((w, first + d) in known for d in range(-most, 3 * most + 3)):
+            if any((w, low + d) in known for d in range(-most, 3 * most + 3)):
                 continue
-            exact = whole.find(pattern.tobytes(), max(first, 0), max(first, 0) + 2 * (most + 1) + length)
-            aligned = (exact, exact + length, 0) if exact >= 0 else align(pattern, text, first, 2 * (most + 1), most)
+            exact = whole.find(pattern.tobytes(), max(low, 0), max(low, 0) + 2 * (most + 1) + length)
+            aligned = (exact, exact + length, 0) if exact >= 0 else align(pattern, text, low, 2 * (most + 1), most)
             if aligned:
                 a, b, edits = aligned
                 known.add((w, a))
-                found.setdefault(number, []).append((a, b, start, start + length, edits))
-        out = []
+                place = short.back(a, b) if short else (a, b)
+                for number, start in self.owners[w]:
+                    found.setdefault(number, []).append((*place, start, start + length, edits))
         for number, parts in sorted(found.items()):
             merged: list[list[int]] = []
             for a, b, c, d, edits in sorted(parts):
@@ -169,7 +260,26 @@ class Index:
                 else:
                     merged.append([a, b, c, d, edits])
             out += [(self.items[number][0], int(at[a]), int(at[b - 1]) + 1, c, d, e) for a, b, c, d, e in merged]
-        return out
+        return sorted(out)
+
+
+@lru_cache(maxsize=4)
+def _finder(short: tuple[tuple[int, bytes], ...]) -> ahocorasick.Automaton:
+    by_text: dict[bytes, list[tuple[int, int]]] = {}
+    for item, text in short:
+        by_text.setdefault(text, []).append((item, len(text)))
+    finder = ahocorasick.Automaton()
+    for text, owners in by_text.items():
+        finder.add_word(text.decode("latin-1"), owners)
+    finder.make_automaton()
+    return finder
+
+
+def _joins(text: bytes, a: int, b: int) -> bool:
+    """Whether neighbouring bytes are both of a word: letters, digits or bytes of other scripts."""
+    if a < 0 or b >= len(text):
+        return False
+    return all(c >= 128 or chr(c).isalnum() for c in (text[a], text[b]))
 
 
 def align(pattern: np.ndarray, text: np.ndarray, first: int, diagonals: int, most: int) -> tuple[int, int, int] | None:
@@ -180,6 +290,10 @@ def align(pattern: np.ndarray, text: np.ndarray, first: int, diagonals: int, mos
     """
     m, begin = len(pattern), first - most
     width = diagonals + 2 * most + 1
+    # An edit makes up for one byte of the pattern that the text doesn't have, no more.
+    have = np.bincount(text[max(begin, 0) : max(begin + m + width, 0)], minlength=256)
+    if np.maximum(np.bincount(pattern, minlength=256) - have, 0).sum() > most:
+        return None
     reach = np.arange(width)
     huge = 1 << 20
     # The text under the band; places outside the text hold a byte that no text has.
@@ -254,7 +368,7 @@ def leaks(
                 out = [
                     (doc, *match)
                     for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                    for match in (index.matches(data) if len(index.keys) else ())
+                    for match in index.matches(data)
                 ]
                 columns = list(zip(*out, strict=True)) or [()] * 7
                 names = ["doc_id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "edits"]
@@ -266,8 +380,9 @@ def leaks(
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a leak, whole rows."""
-    ids = staged(leaks(docs, benchmark).select("doc_id").distinct(), "leaky")
+    """The documents without a leak of an item of ``LEAST_ITEM`` bytes or more, whole rows."""
+    found = leaks(docs, benchmark).where((F.col("item_end") - F.col("item_start") >= LEAST_ITEM))
+    ids = staged(found.select("doc_id").distinct(), "leaky")
     likely, rest = split_by_ids(docs, ids, ids.count())
     return likely.join(ids, "doc_id", "left_anti").select(*docs.columns).unionByName(rest.select(*docs.columns))
 

@@ -53,6 +53,28 @@ def test_repeated_bytes(spark, make_docs, corpus, seed):
             assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.data)) == want[r.doc_id]
 
 
+def test_texts_that_share_an_id(spark, make_docs):
+    """Each is a document of its own: nothing goes from a text that occurs once."""
+    rng = random.Random(4)
+    x, y, z = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3))
+    docs = make_docs([(1, x), (2, x), (2, y), (3, z + z), (3, y), (3, y), (4, "ab" * 300)])
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in suffixes.remove_repeats(docs).collect())
+    assert got == [(1, 300, 0), (2, 300, 0), (2, 300, 300), (3, 300, 300), (3, 300, 300), (3, 600, 300), (4, 600, 598)]
+
+
+def test_runs_of_texts_together_are_those_of_each(corpus):
+    texts = [(t or "").encode() for _, t in corpus]
+    together = suffixes.runs(texts)
+    alone = []
+    for k, data in enumerate(texts):
+        if found := suffixes.runs([data]):
+            alone += [(k, *row) for row in zip(found.cores, found.whole(100), found.first, found.last, strict=True)]
+    offset = together.bounds[together.text()]
+    rows = zip(together.text(), together.cores, together.whole(100), together.first - offset, together.last - offset, strict=True)
+    assert list(rows) == alone
+    assert [k for a, b in suffixes.together(texts) for k in range(a, b)] == list(range(len(texts)))
+
+
 def test_repeated_bytes_of_nothing(spark, make_docs):
     assert suffixes.remove_repeats(make_docs([])).count() == 0
     short = suffixes.remove_repeats(make_docs([(1, "ab" * 40), (2, "ab" * 40), (3, None)])).collect()
@@ -121,10 +143,9 @@ def test_leaks(spark, make_docs):
     want = set()
     for k, body in rows:
         normal = decontaminate.normal((body or "").encode())[0].tobytes()
-        for number, start, length, most in index.windows.tolist():
-            item, whole = index.items[number]
-            if len(normal) < 2000 and edit_distance(whole.tobytes()[start : start + length], normal) <= most:
-                want.add((k, item))
+        for content, owners, (_, most) in zip(index.contents, index.owners, index.shape.tolist(), strict=True):
+            if len(normal) < 2000 and edit_distance(content.tobytes(), normal) <= most:
+                want |= {(k, index.items[number][0]) for number, _ in owners}
     assert {(r.doc_id, r.item_id) for r in found} == want and len(want) > 30
     for r in found:
         assert 0 <= r.doc_start < r.doc_end and r.edits <= decontaminate.EDITS
@@ -132,6 +153,55 @@ def test_leaks(spark, make_docs):
     assert {r.doc_id for r in kept.collect()} == {k for k, _ in rows} - {k for k, _ in want}
 
 
+def with_rules(rng):
+    """Items and a text with stretches of one period in them."""
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8))) for _ in range(n))
+
+    def rule(n):
+        return rng.choice(["-", "=-", "*+.", "abc ", "-- "]) * n
+
+    items = [(i, f"{words(12)} {rule(rng.randint(5, 90))} {words(12)}".encode()) for i in range(8)]
+    parts = [words(9), rule(rng.randint(300, 900)), rng.choice(items)[1].decode(), rule(rng.randint(300, 900)), words(5), rule(50)]
+    rng.shuffle(parts)
+    return items, " ".join(parts).encode()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_shortened_stretches_lose_no_leak(monkeypatch, seed):
+    items, text = with_rules(random.Random(seed))
+    index = decontaminate.Index.of(items)
+    monkeypatch.setattr(decontaminate, "CROWDED", 0)
+    short = index.matches(text)
+    monkeypatch.setattr(decontaminate, "CROWDED", 1 << 40)
+    whole = index.matches(text)
+    assert whole and [m[0] for m in short] == [m[0] for m in whole]
+    for a, b in zip(short, whole, strict=True):
+        assert abs(a[1] - b[1]) <= decontaminate.EDITS and abs(a[2] - b[2]) <= decontaminate.EDITS
+
+
+def test_a_long_rule_takes_little_work():
+    """Ten thousand dashes against items that hold a rule: hits and alignments stay few."""
+    rng = random.Random(2)
+    items = [(i, ("".join(rng.choice("abcdefg ") for _ in range(90)) + "-" * 100).encode()) for i in range(40)]
+    index = decontaminate.Index.of(items)
+    text = decontaminate.normal(b"-" * 10_000)[0]
+    cut = decontaminate.shortened(text)
+    assert len(cut.text) <= 2 * decontaminate.EDGE + 1 and cut.back(0, len(cut.text)) == (0, 10_000)
+    hits = index.hits(decontaminate.qgrams(cut.text))
+    assert int(hits[2].sum()) < 100_000 and sum(1 for _ in index.candidates(*hits)) < 20_000
+    assert {m[0] for m in index.matches(b"-" * 10_000)} == set(range(40))
+
+
+def test_short_items_are_found_where_they_stand_alone(spark, make_docs):
+    docs = make_docs([(1, "Find  the\nKey, here"), (2, "the keyring and xthe key"), (3, "x"), (4, None)])
+    items = spark.createDataFrame([(7, "the key"), (8, "X"), (9, ""), (10, None)], "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.doc_start, r.doc_end) for r in decontaminate.leaks(docs, items).collect())
+    assert got == [(1, 7, 6, 14), (3, 8, 0, 1)]
+    assert decontaminate.clean_documents(docs, items).count() == 4
+
+
 def test_shards_find_the_same(spark, make_docs, monkeypatch):
     rows = [(i, f"{i} " + "some words to find again in here, number " * 3 + str(i)) for i in range(6)]
     benchmark = spark.createDataFrame([(i, t) for i, t in rows], "item_id bigint, text string")
@@ -151,6 +221,13 @@ def test_bloom_filter_loses_nothing(spark):
     assert likely.count() + rest.count() == 3000 and likely.columns == docs.columns
 
 
+def test_bloom_filter_leaves_columns_of_any_name(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "1 AS lane0", "2 AS _key", "3 AS _block", "4 AS _may", "5 AS block")
+    likely, rest = bloom.split_by_ids(docs, docs.where("doc_id < 5").select("doc_id"), 5)
+    assert likely.columns == rest.columns == docs.columns
+    assert sorted(tuple(r) for r in likely.unionByName(rest).collect()) == [(i, 1, 2, 3, 4, 5) for i in range(40)]
+
+
 def docs_column():
     from pyspark.sql import functions as F
 
