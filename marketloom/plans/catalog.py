@@ -34,7 +34,7 @@ def add(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None)
 
 def all_queries() -> dict[str, Query]:
     # Importing the modules fills the catalogue.
-    from marketloom.plans import basics, customers, forecasts, models, products, sales, scored  # noqa: F401
+    from marketloom.plans import basics, customers, forecasts, models, products, sales, scored, storage  # noqa: F401
 
     return dict(_QUERIES)
 
@@ -281,6 +281,34 @@ CTES = {
                COALESCE(regexp_extract(trim(p.Description), '^\\S+'), 'Unknown') AS ProductCategory
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY CustomerID ORDER BY Score DESC, StockCode) AS rn
               FROM unseen) u JOIN product_info p USING (StockCode) WHERE rn <= 5""",
+    # Least squares by orthogonal steps: e1, e2, e3 are the inputs without what the ones before explain.
+    "index_rows": """
+        SELECT *, place < greatest(ceil(n * CAST(0.8 AS DOUBLE)), 1) AS train FROM (
+          SELECT Year, Month, CAST(MonthlySales AS DOUBLE) AS y, (Year - 2010) * 12 + Month AS x1, Month AS x2,
+                 COALESCE(AVG(CAST(MonthlySales AS DOUBLE)) OVER (ORDER BY Year, Month
+                          ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), 0) AS x3,
+                 ROW_NUMBER() OVER (ORDER BY Year, Month) - 1 AS place, COUNT(*) OVER () AS n, 'Historical' AS Type
+          FROM months)
+        UNION ALL
+        SELECT CAST(year(d) AS INTEGER), CAST(month(d) AS INTEGER), NULL, (year(d) - 2010) * 12 + month(d), month(d),
+               (SELECT max_by(CAST(MonthlySales AS DOUBLE), (Year - 2010) * 12 + Month) FROM months),
+               NULL, NULL, 'Forecast', FALSE
+        FROM (SELECT (SELECT MAX(make_date(Year, Month, 1)) FROM months) + to_months(CAST(i AS INTEGER)) AS d
+              FROM range(1, 4) AS steps(i))""",
+    "index_one": "SELECT *, x1 - (SELECT AVG(x1) FROM index_rows WHERE train) AS e1 FROM index_rows",
+    "index_two": """
+        SELECT *, x2 - (SELECT AVG(x2) FROM index_one WHERE train)
+                  - e1 * (SELECT SUM(e1 * x2) / SUM(e1 * e1) FROM index_one WHERE train) AS e2
+        FROM index_one""",
+    "index_three": """
+        SELECT *, x3 - (SELECT AVG(x3) FROM index_two WHERE train)
+                  - e1 * (SELECT SUM(e1 * x3) / SUM(e1 * e1) FROM index_two WHERE train)
+                  - e2 * (SELECT SUM(e2 * x3) / SUM(e2 * e2) FROM index_two WHERE train) AS e3
+        FROM index_two""",
+    "index_fit": """
+        SELECT r.Year, r.Month, r.y AS ActualSales, m + g1 * e1 + g2 * e2 + g3 * e3 AS PredictedSales, r.Type
+        FROM index_three r, (SELECT AVG(y) AS m, SUM(e1 * y) / SUM(e1 * e1) AS g1, SUM(e2 * y) / SUM(e2 * e2) AS g2,
+                                    SUM(e3 * y) / SUM(e3 * e3) AS g3 FROM index_three WHERE train)""",
 }
 
 def _mentions(text: str) -> set[str]:

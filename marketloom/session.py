@@ -55,6 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _STORED: list[str] = []
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses yet; ``drop_stored`` deletes what lies there."""
+    path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
+    _STORED.append(path)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows, written once as Parquet to the shared folder and read from there.
 
@@ -63,9 +70,8 @@ def stored(df: DataFrame) -> DataFrame:
     an executor is lost. ``drop_stored`` removes the files.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
-    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -74,5 +74,5 @@ def write_empty_table(spark: SparkSession, name: str, ddl: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header, one file per task; quotes inside a field are doubled, as the reader expects."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
