@@ -2,11 +2,14 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is written as
 Parquet and read again for the next. All but the last return the columns of documents. Rows without
-doc_id go through; a document whose lines all went as repeats is dropped by the line stage.
+doc_id go through; a document whose lines all went as repeats is dropped by the line stage. Repeated rows of one
+document are judged alike; of near-duplicates the smallest doc_id stays. Further columns of any name go through as they are.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,19 +18,32 @@ from marketloom.llm.bloom import split_by_ids
 from marketloom.llm.common import ready, staged, table
 
 
+#: Columns of documents; others are renamed while a stage adds columns of its own.
+DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with further columns under names that no stage uses, and the way back."""
+    others = {c: f"c{i}_{uuid.uuid4().hex}" for i, c in enumerate(docs.columns) if c not in DOCUMENTS}
+    return docs.withColumnsRenamed(others), {new: old for old, new in others.items()}
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the learned decision list keeps."""
+    docs, names = _set_apart(docs)
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
-    return model.apply(docs).where("verdict").select(*docs.columns)
+    return model.apply(docs).where("verdict").select(*docs.columns).withColumnsRenamed(names)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the multi-line chunks that occur earlier; emptied documents go."""
     ready(spark)
+    docs, names = _set_apart(docs)
     cleaned = line_chunks.drop_repeated_chunks(docs)
     emptied = (F.col("n_removed_chunks") > 0) & (F.trim("text") == "")
     changed = F.when(F.col("n_removed_chunks") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return cleaned.where(~emptied).withColumn("n_chars", changed.cast("bigint")).select(*docs.columns)
+    kept = cleaned.where(~emptied).withColumn("n_chars", changed.cast("bigint")).select(*docs.columns)
+    return kept.withColumnsRenamed(names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.llm import decontaminate, line_chunks, near_dups, packing
 from marketloom.llm.common import staged
@@ -121,3 +122,14 @@ def test_empty_tables(spark, folder, tmp_path):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert decontaminate.EDITS < decontaminate.Q
+
+
+def test_columns_of_any_name_go_through(spark, folder):
+    """The stages' own columns never stand in for those of the documents."""
+    others = {"n_words": 77, "n_lines": 78, "verdict": 79, "lane0": 80, "_key": 81, "_may": 82}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({c: F.lit(v) for c, v in others.items()})
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        docs = staged(stage(spark, docs, folder), name)
+        assert docs.columns[-len(others) :] == list(others)
+        rows = docs.select(*others).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(others.values())]
