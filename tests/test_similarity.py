@@ -85,6 +85,31 @@ def test_similarity_is_symmetric_and_in_range(spark):
     assert all(scores[(b, a)] == s for (a, b), s in scores.items())
 
 
+@pytest.mark.parametrize("per_cell", [0, 2, 5, 1000])
+@pytest.mark.parametrize("limit", [8, 4096])
+def test_joined_and_met_pairs_give_the_same_neighbours(spark, per_cell, limit):
+    """Whether features are joined on, met in blocks, or some of both, neighbours are those of the brute force."""
+    vectors = _unit(_random_cells(9, 60, 15, 3, copies=20))
+    rows = [(a, f, w) for a, row in vectors.items() for f, w in row.items()]
+    df = spark.createDataFrame(rows, "id STRING, f STRING, w DOUBLE")
+    found = {}
+    for r in sorted(similarity.nearest(df, 4, limit, per_cell).collect(), key=lambda r: (r["id"], r["rank"])):
+        found.setdefault(r["id"], []).append((r["neighbour"], r["similarity"]))
+    wanted = _brute(vectors, 4)
+    assert {a: [b for b, _ in row] for a, row in found.items()} == {a: [b for b, _ in row] for a, row in wanted.items()}
+
+
+def test_rows_sent_for_pairs_grow_with_the_cells(spark):
+    """Ids whose features are rare are joined on these; no block is sent to any other."""
+    rng = random.Random(5)
+    for ids in (200, 800):
+        rows = [(f"c{i}", f"f{f}", 1.0) for i in range(ids) for f in rng.sample(range(ids), 3)]
+        cells = spark.createDataFrame(rows, "id STRING, f STRING, w DOUBLE")
+        listed = similarity.joined_pairs(cells.selectExpr("*", "0D AS rest")).count()
+        assert similarity.joined_on(cells, similarity.PAIRS_PER_CELL) > 3
+        assert listed <= similarity.PAIRS_PER_CELL * len(rows)
+
+
 def _in_groups(groups, size):
     """Ids that share features within their group, and one feature with everybody, of little weight."""
     rng = random.Random(11)
