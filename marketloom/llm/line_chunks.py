@@ -132,7 +132,7 @@ def repeated_chunks(docs: DataFrame, divisor: int) -> DataFrame:
             )
 
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "data", "gone")
-    found = staged(known.mapInArrow(hashed, "doc_id bigint, h bigint, g bigint, times bigint"), "chunks")
+    found = staged(known.mapInArrow(hashed, "doc_id bigint, h bigint, g bigint, times bigint"), "chunks", codec="zstd")
     groups = found.groupBy("h", "g").agg(F.min("doc_id").alias("d"), F.sum("times").alias("n")).where("n > 1")
 
     # The bytes of the first occurrences.
@@ -163,7 +163,7 @@ def repeated_chunks(docs: DataFrame, divisor: int) -> DataFrame:
     firsts = firsts.select(
         F.col("h").alias("_h"), F.col("g").alias("_g"), "d", F.col("first.k").alias("k"), "last", F.col("first.content").alias("content")
     )
-    firsts = staged(firsts, "firsts")
+    firsts = staged(firsts, "firsts", codec="zstd")
     joined = found.join(firsts, (F.col("h") == F.col("_h")) & (F.col("g") == F.col("_g"))).where("doc_id <> d OR k <> last")
     return joined.select("doc_id", F.when(F.col("doc_id") == F.col("d"), F.col("k")).otherwise(F.lit(-1)).alias("own"), "content")
 
@@ -173,7 +173,7 @@ def _with_later(docs: DataFrame, text: str, gone: str, divisor: int) -> DataFram
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8(F.col(f"`{text}`")).alias("data"), F.col(gone).alias("gone"))
     mark = uuid.uuid4().hex
     per_doc = repeated_chunks(source, divisor).groupBy(F.col("doc_id").alias(f"id_{mark}"))
-    per_doc = staged(per_doc.agg(F.collect_list(F.struct("own", "content")).alias(f"later_{mark}")), "later_chunks")
+    per_doc = staged(per_doc.agg(F.collect_list(F.struct("own", "content")).alias(f"later_{mark}")), "later_chunks", codec="zstd")
     likely, rest = split_by_ids(docs, per_doc.select(F.col(f"id_{mark}").alias("doc_id")), per_doc.count())
     none = F.array().cast("array<struct<own:int,content:binary>>")
     joined = likely.join(per_doc, F.col("doc_id") == F.col(f"id_{mark}"), "left").drop(f"id_{mark}")
@@ -216,7 +216,7 @@ def drop_repeated_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
 
     rows = docs.select(*[f"`{c}`" for c in kept], f"`{text}`").withColumn(gone, F.array().cast("array<int>"))
     rows = _with_later(rows, text, gone, whole).mapInArrow(mark, ", ".join([*kinds, f"`{text}` string", f"{gone} array<int>"]))
-    rows = _with_later(staged(rows, "whole_chunks"), text, gone, single)
+    rows = _with_later(staged(rows, "whole_chunks", codec="zstd"), text, gone, single)
     schema = ", ".join([*kinds, f"`{text}` string", *[f"{a} bigint" for a in added]])
     return rows.mapInArrow(clean, schema).select(*[f"`{c}`" for c in docs.columns if c not in added], *added)
 
