@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import os
+import time
 from types import SimpleNamespace
 
-from marketloom.session import RUNTIME_CONF, drop_stored, ensure_checkpoint_dir, prepare, stored
+from marketloom.functions.keys import ordered_ids
+from marketloom.session import RUNTIME_CONF, drop_folders, drop_stored, ensure_checkpoint_dir, new_folder, prepare, stored
 
 
 def _session(folder=None):
@@ -45,3 +47,34 @@ def test_stored_files_can_be_dropped(spark):
     assert os.path.isdir(folder)
     drop_stored(spark)
     assert not os.path.exists(folder)
+
+
+def _shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return [
+        name for folder in manager.localDirsString() for _, _, names in os.walk(folder) for name in names if name.startswith("shuffle_")
+    ]
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    prepare(spark)
+    before = set(_shuffle_files(spark))
+    kept = stored(spark.range(1000).selectExpr("id % 70 AS k").groupBy("k").count())
+    deadline = time.time() + 20
+    while set(_shuffle_files(spark)) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert kept.count() == 70 and not set(_shuffle_files(spark)) - before
+
+
+def test_a_folder_can_be_dropped_before_the_others(spark):
+    folder = new_folder(spark)
+    early, late = stored(spark.range(5), folder), stored(spark.range(6))
+    assert early.count() == 5
+    drop_folders(spark, [folder])
+    assert not os.path.exists(folder.removeprefix("file:")) and late.count() == 6
+
+
+def test_ordered_ids_are_dense_and_rise_with_the_values(spark):
+    values = spark.range(500).selectExpr("CAST(id * 37 % 1000 AS STRING) AS v").repartition(7)
+    found = {r["v"]: r["n"] for r in ordered_ids(values, "v", "n").collect()}
+    assert [found[v] for v in sorted(found)] == list(range(500))

@@ -250,3 +250,29 @@ def test_brute_helper_orders_ties_by_id():
     vectors = _unit({"a": {"x": 1.0}, "b": {"x": 2.0}, "c": {"x": 3.0}})
     assert _brute(vectors, 2)["a"] == [("b", 1.0), ("c", 1.0)]
     assert len(list(itertools.combinations(vectors, 2))) == 3
+
+
+def test_ids_that_meet_in_parts_find_the_same_neighbours(spark, monkeypatch):
+    """Where features list much, ids are met part after part; no part's arrays hold those of another."""
+    vectors = _unit(_random_cells(5, 60, 15, 0))
+    rows = [(a, f, w) for a, row in vectors.items() for f, w in row.items()]
+    cells = spark.createDataFrame(rows, "id STRING, f STRING, w DOUBLE")
+    lists = similarity.feature_lists(cells)
+    parts = [{(r["id"], r["other"]) for r in similarity.listed_sums(lists, i, 3).collect()} for i in range(3)]
+    whole = {(r["id"], r["other"]) for r in similarity.listed_sums(lists).collect()}
+    assert set.union(*parts) == whole and sum(map(len, parts)) == len(whole)
+    assert all({a for a, _ in one}.isdisjoint(a for a, _ in other) for one, other in itertools.combinations(parts, 2))
+    monkeypatch.setattr(similarity, "LISTED_AT_ONCE", 300)
+    assert _found(spark, vectors, 3, 4096) == {a: [(b, pytest.approx(s, abs=1e-8)) for b, s in row] for a, row in _brute(vectors, 3).items()}
+
+
+def test_unseen_items_shuffle_arrays_not_single_rows(spark):
+    near = spark.createDataFrame([("u", "v", 0.5), ("u", "w", 0.25)], "CustomerID STRING, Neighbour STRING, Similarity DOUBLE")
+    rows = [("u", "A", 1), ("u", None, 1), ("v", "A", 2), ("v", "B", 2), ("w", "B", 4), ("w", None, 4), ("x", "C", 9)]
+    inter = spark.createDataFrame(rows, "CustomerID STRING, StockCode STRING, Spend INT")
+    inter = inter.selectExpr("CustomerID", "StockCode", "CAST(Spend AS DECIMAL(28,2)) AS Spend")
+    unseen = similarity.unseen_items(near, inter)
+    # A product without a code is like no other, so nobody has it already.
+    assert {(r["CustomerID"], r["StockCode"], float(r["Score"])) for r in unseen.collect()} == {("u", "B", 2.0), ("u", None, 1.0)}
+    plan = unseen._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning(CustomerID" in line and "StockCode" in line.split("hashpartitioning")[1].split(")")[0]]
