@@ -63,7 +63,8 @@ def test_shuffle_files_go_with_their_query(spark):
     deadline = time.time() + 20
     while set(_shuffle_files(spark)) - before and time.time() < deadline:
         time.sleep(0.2)
-    assert kept.count() == 70 and not set(_shuffle_files(spark)) - before
+    assert not set(_shuffle_files(spark)) - before
+    assert kept.count() == 70
 
 
 def test_a_folder_can_be_dropped_before_the_others(spark):

@@ -276,3 +276,16 @@ def test_unseen_items_shuffle_arrays_not_single_rows(spark):
     assert {(r["CustomerID"], r["StockCode"], float(r["Score"])) for r in unseen.collect()} == {("u", "B", 2.0), ("u", None, 1.0)}
     plan = unseen._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "hashpartitioning(CustomerID" in line and "StockCode" in line.split("hashpartitioning")[1].split(")")[0]]
+
+
+def test_best_unseen_in_parts_is_the_same(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(f"c{i:02d}", f"p{p}", rng.randint(1, 9)) for i in range(40) for p in rng.sample(range(30), 4)]
+    inter = spark.createDataFrame(rows, "CustomerID STRING, StockCode STRING, Spend INT")
+    inter = inter.selectExpr("CustomerID", "StockCode", "CAST(Spend AS DECIMAL(28,2)) AS Spend")
+    links = [(f"c{i:02d}", f"c{j:02d}", rng.random()) for i in range(40) for j in rng.sample(range(40), 3) if i != j]
+    near = spark.createDataFrame(links, "CustomerID STRING, Neighbour STRING, Similarity DOUBLE")
+    whole = sorted(map(tuple, similarity.best_unseen(near, inter, 3).collect()))
+    monkeypatch.setattr(similarity, "LISTED_AT_ONCE", 150)
+    assert similarity.parts_for(len(links) * 4) > 1
+    assert sorted(map(tuple, similarity.best_unseen(near, inter, 3).collect())) == whole
