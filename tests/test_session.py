@@ -5,7 +5,7 @@ import time
 from types import SimpleNamespace
 
 from marketloom.functions.keys import ordered_ids
-from marketloom.session import RUNTIME_CONF, drop_folders, drop_stored, ensure_checkpoint_dir, new_folder, prepare, stored
+from marketloom.session import RUNTIME_CONF, drop_folders, drop_stored, ensure_checkpoint_dir, new_folder, passing, prepare, stored
 
 
 def _session(folder=None):
@@ -79,3 +79,13 @@ def test_ordered_ids_are_dense_and_rise_with_the_values(spark):
     values = spark.range(500).selectExpr("CAST(id * 37 % 1000 AS STRING) AS v").repartition(7)
     found = {r["v"]: r["n"] for r in ordered_ids(values, "v", "n").collect()}
     assert [found[v] for v in sorted(found)] == list(range(500))
+
+
+def test_what_passes_goes_and_what_was_named_before_stays(spark):
+    early, kept = stored(spark.range(3)), new_folder(spark)
+    with passing(spark):
+        inner = stored(spark.range(9))
+        folder = inner.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+        result = stored(inner.where("id > 4"), kept)
+    assert not os.path.exists(folder)
+    assert early.count() == 3 and result.count() == 4

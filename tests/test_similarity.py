@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 
+from marketloom import session
 from marketloom.operators import similarity
 
 
@@ -289,3 +290,27 @@ def test_best_unseen_in_parts_is_the_same(spark, monkeypatch):
     monkeypatch.setattr(similarity, "LISTED_AT_ONCE", 150)
     assert similarity.parts_for(len(links) * 4) > 1
     assert sorted(map(tuple, similarity.best_unseen(near, inter, 3).collect())) == whole
+
+
+def test_unseen_items_of_many_customers_come_in_stored_parts(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(f"c{i:02d}", f"p{p}", rng.randint(1, 9)) for i in range(40) for p in rng.sample(range(30), 4)]
+    inter = spark.createDataFrame(rows, "CustomerID STRING, StockCode STRING, Spend INT")
+    inter = inter.selectExpr("CustomerID", "StockCode", "CAST(Spend AS DECIMAL(28,2)) AS Spend")
+    links = [(f"c{i:02d}", f"c{j:02d}", rng.random()) for i in range(40) for j in rng.sample(range(40), 3) if i != j]
+    near = spark.createDataFrame(links, "CustomerID STRING, Neighbour STRING, Similarity DOUBLE")
+    whole = sorted(map(tuple, similarity.unseen_items(near, inter).collect()))
+    monkeypatch.setattr(similarity, "LISTED_AT_ONCE", 150)
+    found = similarity.unseen_items(near, inter)
+    assert sorted(map(tuple, found.collect())) == whole
+    # Nothing is left to send when the result is read.
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recommendations_keep_no_intermediate_rows(spark, make_lines):
+    lines = make_lines(*[(f"i{c}{p}", f"p{p}", p + 1, 2, f"c{c}", "2011-01-01") for c in range(4) for p in range(c, c + 3)])
+    before = set(session._STORED)
+    recs = similarity.neighbour_recommendations(lines)
+    # The recommendations and the products' names.
+    assert len(set(session._STORED) - before) == 2
+    assert recs.count() > 0
