@@ -254,3 +254,20 @@ def test_sample_rf_predicts_every_customer(tables):
     model = churn.churn_rf(churn.customer_lifecycle(tables.sales), trees=3, depth=3)
     known = tables.sales.where("CustomerID IS NOT NULL").select("CustomerID").distinct().count()
     assert model.predictions.count() == known
+
+
+@pytest.mark.parametrize("block", [16, 64, 8192])
+def test_top_items_are_those_of_all_products(spark, block):
+    rng = np.random.default_rng(3)
+    mine, theirs = rng.random((70, 6), dtype=np.float32), rng.random((300, 6), dtype=np.float32) ** 2
+    mine[5] = 0
+    tables = [
+        spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(m)], "id INT, features ARRAY<FLOAT>")
+        for m in (mine, theirs)
+    ]
+    rows = recommend.top_items(*tables, 4, block).collect()
+    scores = mine @ theirs.T
+    assert len(rows) == 70 * 4 == len({(r["user"], r["item"]) for r in rows})
+    found = {u: sorted((r["rating"] for r in rows if r["user"] == u), reverse=True) for u in range(70)}
+    assert all(found[u] == pytest.approx(sorted(scores[u])[:-5:-1], rel=1e-5) for u in range(70))
+    assert all(r["rating"] == pytest.approx(scores[r["user"], r["item"]], rel=1e-5) for r in rows)
