@@ -138,6 +138,24 @@ def test_boosted_trees(spark):
     assert len(worst) == 3 and len(best) == 2 and min(worst) >= max(best)
 
 
+def test_churn_features_split_and_extremes_read_stored_rows(spark, make_lines):
+    lines = make_lines(
+        ("1", "A", 1, 5, "u", "2011-01-01"),
+        ("2", "B", 2, 5, "u", "2011-01-11"),
+        ("3", "A", 1, 5, "v", "2011-01-05"),
+        ("4", "A", 1, 5, "v", "2011-03-01"),
+    )
+    found = churn.churn_features(lines, days=30, home="France")
+    assert found.inputFiles()  # the lines themselves have no files
+    rows = {r["CustomerID"]: (r["Frequency"], r["ProductDiversity"], r["AvgDaysBetween"], r["Churned"]) for r in found.collect()}
+    assert rows == {"u": (2, 2, 10.0, 1), "v": (1, 1, 25.0, 0)}
+    scores = spark.createDataFrame([(f"c{i}", i / 10) for i in range(10)], "CustomerID STRING, ChurnRisk DOUBLE")
+    ends = churn.churn_extremes(scores, 2, 1)
+    assert ends.inputFiles() and [r["CustomerID"] for r in ends.collect()] == ["c9", "c8", "c0"]
+    flagged = scores.withColumn("y", (F.col("ChurnRisk") > 0.4).cast("int"))
+    assert all(side.inputFiles() for side in churn.stratified_split(flagged, "y", ["CustomerID"]))
+
+
 def test_stratified_split_keeps_class_shares(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 10 == 0).cast("int").alias("y"))
     train, test = churn.stratified_split(df, "y", ["k"])
