@@ -73,6 +73,16 @@ def test_clusters_find_the_blobs_and_get_their_names(blobs):
     assert segments.segment_metrics(segments.segment_names(found)).agg(F.sum("Customers")).first()[0] == 240
 
 
+def test_each_fit_of_clusters_holds_its_own_vectors(spark, blobs, monkeypatch):
+    levels, fit = [], segments.KMeans.fit
+    monkeypatch.setattr(segments.KMeans, "fit", lambda self, rows: (levels.append(rows.storageLevel), fit(self, rows))[1])
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    assert segments.customer_segments(blobs, restarts=3).count() == 240
+    # Rows that somebody else holds would be decoded again in every pass.
+    assert len(levels) == 3 and not any(level.useMemory or level.useDisk for level in levels)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+
+
 def test_cluster_profile_and_box_stats(blobs):
     found = segments.customer_segments(blobs, restarts=2)
     assert segments.cluster_profile(found).count() == 240
