@@ -5,6 +5,8 @@ import math
 import random
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from marketloom import session
@@ -314,3 +316,72 @@ def test_recommendations_keep_no_intermediate_rows(spark, make_lines):
     # The recommendations and the products' names.
     assert len(set(session._STORED) - before) == 2
     assert recs.count() > 0
+
+
+@pytest.mark.parametrize("most_dense", [0, 256])
+@pytest.mark.parametrize(("seed", "hot", "copies", "limit"), [(4, 3, 0, 20), (5, 3, 30, 8), (8, 2, 40, 1)])
+def test_blocks_of_few_and_of_many_features_give_the_same_neighbours(spark, monkeypatch, most_dense, seed, hot, copies, limit):
+    monkeypatch.setattr(similarity, "MOST_DENSE", most_dense)
+    vectors = _unit(_random_cells(seed, 60, 25, hot, copies))
+    found = _found(spark, vectors, 5, limit)
+    assert {a: [b for b, _ in row] for a, row in found.items()} == {a: [b for b, _ in row] for a, row in _brute(vectors, 5).items()}
+
+
+def _packed(vectors, names, k):
+    """A block of these vectors, numbers as features and ids, which has met itself."""
+    cells = {n: sorted(((w, f) for f, w in vectors[n].items()), reverse=True) for n in names}
+    table = pa.table(
+        {
+            "id": pa.array(names, pa.int32()),
+            "fs": pa.array([[f for _, f in cells[n]] for n in names], pa.list_(pa.int32())),
+            "ws": pa.array([[w for w, _ in cells[n]] for n in names], pa.list_(pa.float64())),
+            "floor": [0.0] * len(names),
+        }
+    )
+    return similarity._dense_block(table, 0, 64, k)
+
+
+def _numbered(seed, ids, groups):
+    """Ids with all their weight on the features of their group but little, which lies on one of all."""
+    rng = random.Random(seed)
+    cells = {}
+    for i in range(ids):
+        own = rng.sample(range(6), 4)
+        cells[i] = {i % groups * 6 + f: rng.randint(5, 9) / 1.0 for f in own} | {63: 0.1}
+    return _unit(cells)
+
+
+def test_dense_blocks_leave_out_what_bounds_rule_out(monkeypatch):
+    vectors, k, products = _numbered(3, 6000, 10), 3, []
+    times = similarity._Dense._products
+    monkeypatch.setattr(similarity._Dense, "_products", staticmethod(lambda s, o, at, *x: products.append(len(s) * len(at)) or times(s, o, at, *x)))
+    row, block = _packed(vectors, list(range(3000)), k)
+    other, _ = _packed(vectors, list(range(3000, 6000)), k)
+    products.clear()
+    ours, theirs = similarity._Dense(row, 64, k), similarity._Dense(other, 64, k)
+    theirs.as_columns(np.frombuffer(other["places"], dtype=np.int32))
+    ours.meet(theirs)
+    assert 0 < sum(products) < 3000 * 3000 / 2
+    matrix = np.zeros((6000, 64))
+    for i, cells in vectors.items():
+        matrix[i, list(cells)] = list(cells.values())
+    best = {}
+    for table in (block.found(), ours.found()):
+        for r in table.to_pylist():
+            best.setdefault(r["id"], []).append((-r["similarity"], r["neighbour"]))
+    for i in range(0, 3000, 7):
+        sums = np.round(matrix @ matrix[i], 9)
+        sums[i] = -1.0
+        assert [b for _, b in sorted(best[i])[:k]] == np.lexsort((np.arange(6000), -sums))[:k].tolist()
+
+
+def test_of_many_equal_ids_the_first_are_neighbours():
+    """Ids with the same cells aren't all multiplied with each other."""
+    vectors = {i: {0: 0.6, 1: 0.8} for i in range(2000)} | {i: {0: 0.8, 1: 0.6} for i in range(2000, 2003)}
+    row, block = _packed(vectors, list(vectors), 2)
+    assert len(row["places"]) // 4 == 3 + 3
+    found = {}
+    for r in block.found().to_pylist():
+        found.setdefault(r["id"], set()).add((r["neighbour"], r["similarity"]))
+    assert found[0] == {(1, 1.0), (2, 1.0)} and found[1] == {(0, 1.0), (2, 1.0)} and found[1999] == {(0, 1.0), (1, 1.0)}
+    assert found[2002] == {(2000, 1.0), (2001, 1.0)}
